@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talkloom import constants as C
 from talkloom.functions import strict_json as J
+from talkloom.operators.once import with_columns_once
 
 Reward = Callable[[DataFrame], DataFrame]
 
@@ -31,7 +32,8 @@ def reward_action(
     """E10. Add `reward`; `targets` has one `correct_action` per prompt, completions many."""
     parsed = completions.withColumn("_value", J.strict_variant(F.col(text)))
     joined = parsed.join(targets.select(on, "correct_action"), on)
-    return joined.withColumn("reward", action_reward(F.col("_value"), F.col("correct_action"))).drop("_value")
+    reward = action_reward(F.col("_value"), F.col("correct_action"))
+    return with_columns_once(joined, {"reward": reward}).drop("_value")
 
 
 def apply_reward(completions: DataFrame, reward: Reward) -> DataFrame:

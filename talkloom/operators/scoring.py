@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from talkloom import constants as C
 from talkloom.functions import strict_json as J
+from talkloom.operators.once import with_columns_once
 
 PASSED_REASON = "struct<passed:boolean,reason:string>"
 
@@ -98,7 +99,8 @@ def score_extracted(response: Column, block: Column, block_value: Column, expect
 def predicted_action(block: Column, block_value: Column) -> Column:
     """E4. The action the response names, or the marker that says why there is none."""
     return (
-        F.when(block == "", F.lit(C.NO_JSON_MARKER))
+        F.when(block.isNull(), F.lit(None))
+        .when(block == "", F.lit(C.NO_JSON_MARKER))
         .when(block_value.isNull(), F.lit(C.BAD_JSON_MARKER))
         .otherwise(J.plain_text(J.action_of(block_value)))
     )
@@ -176,7 +178,7 @@ def python_scorer(
 
 def run_scorers(parsed: DataFrame, scorers: Sequence[Scorer]) -> DataFrame:
     """A3. One struct column per scorer, all on the same responses, named like the scorer."""
-    return parsed.withColumns({s.name: s.column() for s in scorers})
+    return with_columns_once(parsed, {s.name: s.column() for s in scorers})
 
 
 def suite_metrics(scored: DataFrame, scorers: Sequence[Scorer]) -> DataFrame:
@@ -208,18 +210,18 @@ def with_accuracy(counts: DataFrame) -> DataFrame:
 
 def results_table(parsed: DataFrame, prompt: str, response: str, expected: str) -> DataFrame:
     """E4. prompt, expected, predicted, full_response, passed and reason, next to the other columns."""
-    scored = parsed.withColumn(
-        "_e", score_extracted(F.col(response), F.col("block"), F.col("block_value"), F.col(expected))
-    )
+    outcome = score_extracted(F.col(response), F.col("block"), F.col("block_value"), F.col(expected))
+    predicted = predicted_action(F.col("block"), F.col("block_value"))
+    scored = with_columns_once(parsed, {"_outcome": outcome, "_predicted": predicted})
     made = {
         "prompt": F.col(prompt),
         "expected": F.col(expected),
-        "predicted": predicted_action(F.col("block"), F.col("block_value")),
+        "predicted": F.col("_predicted"),
         "full_response": F.col(response),
-        "passed": F.col("_e.passed"),
-        "reason": F.col("_e.reason"),
+        "passed": F.col("_outcome.passed"),
+        "reason": F.col("_outcome.reason"),
     }
-    used = {*made, prompt, response, expected, "value", "block", "block_value", "expected_value", "_e"}
+    used = {*made, prompt, response, expected, "value", "block", "block_value", "expected_value"}
     kept = [c for c in parsed.columns if c not in used]
     return scored.select(*kept, *[column.alias(name) for name, column in made.items()])
 
