@@ -10,6 +10,11 @@ from talkloom import constants as C
 OFFSET_GROUP = 65_536
 
 
+def _div(number: Column, by: int) -> Column:
+    """Whole-number division; ids beyond the exact range of a double stay exact."""
+    return F.call_function("div", number, F.lit(by))
+
+
 def hash_bucket(row_id: str, seed: int, buckets: int) -> Column:
     """A seeded shuffle of the rows into buckets of about equal size; `row_id` is unique."""
     return F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(buckets))
@@ -17,7 +22,7 @@ def hash_bucket(row_id: str, seed: int, buckets: int) -> Column:
 
 def range_bucket(row_id: str, rows: int) -> Column:
     """Neighbouring integer ids share a bucket, at most `rows` of them."""
-    return F.floor(F.col(row_id) / rows)
+    return _div(F.col(row_id), rows)
 
 
 def length_batches(
@@ -31,7 +36,7 @@ def length_batches(
     ranked = df.withColumn("bucket", bucket.cast("bigint")).withColumn(
         "rank", F.row_number().over(by_length) - 1
     )
-    return ranked.withColumn("batch", F.floor(F.col("rank") / batch_size).cast("bigint"))
+    return ranked.withColumn("batch", _div(F.col("rank"), batch_size))
 
 
 def batch_summary(batches: DataFrame, length: str) -> DataFrame:
@@ -41,14 +46,19 @@ def batch_summary(batches: DataFrame, length: str) -> DataFrame:
     )
 
 
-def bucket_offsets(summary: DataFrame, group: int = OFFSET_GROUP) -> DataFrame:
+def bucket_offsets(batches: DataFrame, batch_size: int = C.MICRO_BATCH, group: int = OFFSET_GROUP) -> DataFrame:
     """Batches in all earlier buckets, per bucket.
 
-    The running sum is taken in groups of `group` buckets and then over the groups, so the only
-    window without a key sees one row per `group` buckets.
+    They follow from the row counts, so the length-sorted rows are not needed again and only the
+    ids are read. The running sum is taken in groups of `group` buckets and then over the groups:
+    the only window without a key sees one row per `group` buckets.
     """
-    counts = summary.groupBy("bucket").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_group", F.floor(F.col("bucket") / group))
+    rows = batches.groupBy("bucket").agg(F.count("*").alias("_rows"))
+    counts = rows.select(
+        "bucket",
+        _div(F.col("_rows") + (batch_size - 1), batch_size).alias("_n"),
+        _div(F.col("bucket"), group).alias("_group"),
+    )
     inside = Window.partitionBy("_group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     over_groups = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     groups = (
@@ -64,18 +74,22 @@ def bucket_offsets(summary: DataFrame, group: int = OFFSET_GROUP) -> DataFrame:
 
 
 def step_plan(
-    summary: DataFrame,
+    batches: DataFrame,
+    length: str,
+    batch_size: int = C.MICRO_BATCH,
     accumulation: int = C.ACCUMULATION,
     log_every: int = C.LOG_EVERY,
     eval_every: int = C.EVAL_EVERY,
 ) -> DataFrame:
-    """T9. Global batch number, optimizer step (from 1) and the logging and evaluation steps."""
-    numbered = summary.join(bucket_offsets(summary), "bucket").withColumn(
+    """T9. One row per batch: its size, its global number, its optimizer step (from 1), and
+    whether that step logs or evaluates. `batches` comes from length_batches.
+    """
+    summary = batch_summary(batches, length)
+    numbered = summary.join(bucket_offsets(batches, batch_size), "bucket").withColumn(
         "batch_no", F.col("_offset") + F.col("batch")
     )
-    step = (F.floor(F.col("batch_no") / accumulation) + 1).cast("bigint")
     return (
-        numbered.withColumn("step", step)
+        numbered.withColumn("step", _div(F.col("batch_no"), accumulation) + 1)
         .withColumn("logs", F.col("step") % log_every == 0)
         .withColumn("evaluates", F.col("step") % eval_every == 0)
         .drop("_offset")

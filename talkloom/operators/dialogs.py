@@ -102,7 +102,7 @@ def _with_prefix(turns: DataFrame, chunk: int) -> DataFrame:
     A row carries its whole history, so a conversation is never longer than a row can hold; the
     chunk arrays of one conversation are therefore a bounded group.
     """
-    cut = turns.withColumn("_chunk", F.floor(F.col("turn") / chunk))
+    cut = turns.withColumn("_chunk", F.call_function("div", F.col("turn"), F.lit(chunk)))
     order = Window.partitionBy("conv_id", "_chunk").orderBy("turn")
     local = cut.select(
         "*",
@@ -134,7 +134,7 @@ def _with_prefix(turns: DataFrame, chunk: int) -> DataFrame:
 def _with_halo(turns: DataFrame, max_history: int, chunk: int) -> DataFrame:
     """Bounded history of long conversations: each chunk also gets the turns just before it."""
     placed = scans.ordinal(turns, ["conv_id"], "turn", "turn", "_pos", task_rows=chunk * 1024)
-    own = F.floor(F.col("_pos") / chunk)
+    own = F.call_function("div", F.col("_pos"), F.lit(chunk))
     near_end = F.col("_pos") % chunk >= chunk - (max_history + 1)
     copies = F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))
     cut = placed.select("*", own.alias("_own"), F.explode(copies).alias("_chunk"))

@@ -45,7 +45,8 @@ def group_advantage(rewards: DataFrame, group: str = "prompt_id", eps: float = 1
     """E11. (reward - mean) / (deviation + eps) within a group, 0 for a group of one.
 
     Group statistics are combined before the shuffle and joined back, so the completions of one
-    prompt are never gathered in a task; a prompt with very many is left to the skew join.
+    prompt are never gathered in a task; a prompt with very many is left to the skew join. The
+    rewards are read twice: give a written table if making them is costly.
     """
     deviation = F.stddev_samp("reward") if ddof == 1 else F.stddev_pop("reward")
     stats = rewards.groupBy(group).agg(

@@ -14,8 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TASK_ROWS = 4_000_000
-MAX_SLICES = 1024
+TASK_ROWS = 1_000_000
+MAX_SLICES = 16_384
 
 _HOT, _SLICE, _AT = "_hot", "_slice", "_at"
 
@@ -58,7 +58,7 @@ def slice_hot_keys(
     cuts: list[float] = []
     if shares:
         hot_rows = marked.filter(F.col(_HOT))
-        cuts = hot_rows.agg(F.percentile_approx(at, shares, 10 * max_slices)).first()[0] or []
+        cuts = hot_rows.agg(F.percentile_approx(at, shares, max(10_000, 4 * wanted))).first()[0] or []
     borders = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     cutter = Bucketizer(splits=borders, inputCol=_AT, outputCol=_SLICE, handleInvalid="keep")
     sliced = cutter.transform(marked.withColumn(_AT, F.col(at).cast("double")))

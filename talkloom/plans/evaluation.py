@@ -136,7 +136,7 @@ FROM scored WHERE extracted_reason <> 'match'"""
 
 def eval_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every prompt with its answer by id; a prompt without an answer is a failed one."""
-    prompts = I.examples(spark, sf_dir).select("example_id", F.col("prompt.UserInput").alias("user_input"))
+    prompts = I.examples(spark, sf_dir, max_history=0).select("example_id", F.col("prompt.UserInput").alias("user_input"))
     answers = I.responses(spark, sf_dir).filter(F.col("response").isNotNull())
     parsed = S.parse_responses(S.align(prompts, answers), "response", "expected_answer")
     scored = S.run_scorers(parsed, [S.ACTION])
@@ -184,21 +184,18 @@ SELECT source, passed, total, {_RATE} AS accuracy, printf('%.2f (%d/%d)', {_RATE
 
 def _completions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Two completions per prompt, and the prompts' targets."""
-    both = [
-        I.responses(spark, sf_dir, shift).select(
-            F.col("example_id").alias("prompt_id"), F.lit(g).alias("g"), F.col("response").alias("completion")
-        )
-        for g, shift in ((0, 0), (1, 5))
-    ]
+    completions = I.responses(spark, sf_dir, shifts=(0, 5)).select(
+        F.col("example_id").alias("prompt_id"), "g", F.col("response").alias("completion")
+    )
     targets = I.responses(spark, sf_dir).select(
         F.col("example_id").alias("prompt_id"), F.col("expected_action").alias("correct_action")
     )
-    return both[0].unionByName(both[1]), targets
+    return completions, targets
 
 
 def grpo_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rewarded = rewards.reward_action(*_completions(spark, sf_dir))
-    return rewarded.select("prompt_id", F.col("g").cast("bigint").alias("g"), "reward")
+    return rewarded.select("prompt_id", "g", "reward")
 
 
 _REWARD = """CASE WHEN completion IS NULL OR NOT json_valid(completion) THEN -1.0
@@ -217,14 +214,12 @@ GRPO_REWARDS = f"WITH {_REWARDS_SQL} SELECT prompt_id, g, reward FROM rewards"
 
 
 def grpo_advantage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rewarded = rewards.apply_reward(
-        _completions(spark, sf_dir)[0],
-        lambda df: rewards.reward_action(df, _completions(spark, sf_dir)[1]).select("prompt_id", "g", "reward"),
-    )
-    made = rewards.group_advantage(rewarded)
-    return made.select(
-        "prompt_id", F.col("g").cast("bigint").alias("g"), "reward", F.round("advantage", 9).alias("advantage")
-    )
+    """The rewards are a written table: statistics and rows both read it, completions are parsed once."""
+    completions, targets = _completions(spark, sf_dir)
+    rewarded = rewards.apply_reward(completions, lambda df: rewards.reward_action(df, targets))
+    written = session.materialize(rewarded.select("prompt_id", "g", "reward"))
+    made = rewards.group_advantage(written)
+    return made.select("prompt_id", "g", "reward", F.round("advantage", 9).alias("advantage"))
 
 
 GRPO_ADVANTAGE = f"""WITH {_REWARDS_SQL},
@@ -245,7 +240,7 @@ def _stub_client():
 
 
 def eval_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompts = I.examples(spark, sf_dir).select("example_id", F.col("prompt.UserInput").alias("prompt"))
+    prompts = I.examples(spark, sf_dir, max_history=0).select("example_id", F.col("prompt.UserInput").alias("prompt"))
     return inference.generate(prompts, _stub_client, "prompt").select("example_id", "response", "error")
 
 

@@ -44,18 +44,23 @@ def _id():
     return (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id")
 
 
-def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def examples(spark: SparkSession, sf_dir: str, max_history: int | None = None) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    made = expand_dialogs(turns, _actions(), _action(), DEFAULT_SYSTEM)
+    made = expand_dialogs(turns, _actions(), _action(), DEFAULT_SYSTEM, max_history)
     return made.select(_id(), "*")
 
 
-def responses(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
-    """One response per assistant turn, going through every way a response can be right or wrong."""
+def responses(spark: SparkSession, sf_dir: str, shifts: tuple[int, ...] = (0,)) -> DataFrame:
+    """Responses per assistant turn, going through every way a response can be right or wrong.
+
+    One response per shift; `g` numbers them.
+    """
     turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
-    named = turns.select(
+    samples = turns.select("*", F.posexplode(F.array(*[F.lit(s) for s in shifts])).alias("g", "shift"))
+    named = samples.select(
         _id(),
-        ((F.col("conv_id") * 31 + F.col("turn") + shift) % 16).alias("k"),
+        F.col("g").cast("bigint").alias("g"),
+        ((F.col("conv_id") * 31 + F.col("turn") + F.col("shift")) % 16).alias("k"),
         _action().alias("expected_action"),
         F.concat(F.lit("m"), F.col("conv_id"), F.lit("-"), F.col("turn")).alias("m"),
     )
@@ -78,6 +83,7 @@ def responses(spark: SparkSession, sf_dir: str, shift: int = 0) -> DataFrame:
     )
     return named.select(
         "example_id",
+        "g",
         "expected_action",
         F.concat(F.lit('{"MessageText":"","Content":{"Action":"'), a, F.lit('"}}')).alias("expected_answer"),
         made.alias("response"),

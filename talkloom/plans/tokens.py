@@ -121,7 +121,7 @@ FROM ended"""
 def context_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = I.table(spark, sf_dir, "conversations")
     vocab = T.build_vocab(turns, "text", VOCAB_SIZE)
-    pairs = I.examples(spark, sf_dir).select("example_id", "system", F.col("prompt.UserInput").alias("user"))
+    pairs = I.examples(spark, sf_dir, max_history=0).select("example_id", "system", F.col("prompt.UserInput").alias("user"))
     made = T.encode_context(pairs, vocab, "system", "user", CONTEXT)
     return made.select(
         "example_id",
@@ -187,7 +187,7 @@ LENGTH_BATCHES = f"WITH {_BATCHES_SQL} SELECT doc_id, length, bucket, rank, batc
 
 
 def step_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = B.step_plan(B.batch_summary(_batches(spark, sf_dir), "length"))
+    plan = B.step_plan(_batches(spark, sf_dir), "length")
     return plan.select(
         "bucket", "batch", "n_rows", "max_len", "sum_len", "batch_no", "step", "logs", "evaluates"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -27,3 +27,10 @@ def shared_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="talkloom-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/talkloom-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a table that several parts of a plan read, and read it back; lost executors lose nothing."""
+    folder = shared_dir(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
