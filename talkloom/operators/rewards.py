@@ -53,4 +53,5 @@ def group_advantage(rewards: DataFrame, group: str = "prompt_id", eps: float = 1
         F.avg("reward").alias("group_mean"), F.coalesce(deviation, F.lit(0.0)).alias("group_std")
     )
     centred = F.col("reward") - F.col("group_mean")
-    return rewards.join(stats, group).withColumn("advantage", centred / (F.col("group_std") + eps))
+    advantage = F.coalesce(F.try_divide(centred, F.col("group_std") + eps), F.lit(0.0))
+    return rewards.join(stats, group).withColumn("advantage", advantage)

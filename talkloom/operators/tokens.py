@@ -35,7 +35,7 @@ class Vocabulary:
         """All entries including the special ones, whose frequency is null."""
         spark = self.table.sparkSession
         rows = [(name, None, i) for i, name in enumerate(self.specials)]
-        extra = spark.createDataFrame(rows, self.table.schema)
+        extra = spark.createDataFrame(rows, "token string, freq long, token_id int")
         return extra.unionByName(self.table)
 
 
