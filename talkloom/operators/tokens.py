@@ -16,7 +16,7 @@ WORD = r"[^ \n\t\r]+"
 
 # A vocabulary up to this size travels with the tasks as one value; a larger one is joined.
 LOOKUP_ENTRIES = 262_144
-_ENTRIES_PER_BUCKET = 8
+_ENTRIES_PER_BUCKET = 2
 
 
 @dataclass(frozen=True)
@@ -173,10 +173,12 @@ def encode_context(
     role_ids: Mapping[str, int] = C.ROLE_IDS,
     bos: str = "<s>",
     eos: str = "</s>",
+    notice: str | None = None,
 ) -> DataFrame:
     """T6/F3. Ids of the tagged system and user message and the reply opening, last `n_ctx` kept.
 
-    Adds `context`, `n_tokens` before the cut, and `over_context`.
+    Adds `context`, `n_tokens` before the cut, and `over_context`; `notice` is the text a user gets
+    whose message was cut.
     """
     encoded = encode(df, vocab, {system: "_system_ids", user: "_user_ids"})
     whole = arrays.context_ids(
@@ -190,6 +192,7 @@ def encode_context(
         encoded.withColumn("_whole", whole)
         .withColumn("n_tokens", F.size("_whole"))
         .withColumn("over_context", F.col("n_tokens") > n_ctx)
+        .withColumn("notice", F.when(F.col("over_context"), F.lit(notice).cast("string")))
         .withColumn("context", arrays.keep_last(F.col("_whole"), n_ctx))
         .drop("_whole", "_system_ids", "_user_ids")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkloom import session
 from talkloom.functions import arrays as A
 from talkloom.operators import batches as B
 from talkloom.operators import tokens as T
@@ -18,7 +19,7 @@ BUCKET_ROWS = 64
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return session.spread_small(I.table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
 
 
 def _vocab(documents: DataFrame) -> T.Vocabulary:

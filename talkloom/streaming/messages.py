@@ -39,6 +39,7 @@ def busy_stream(
     kept = [endpoint, user, start, finish, tie]
 
     def on_batch(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         before = _state_before(spark, checkpoint, number, batch.select(*kept))
         marked = batch.withColumn("_state", F.lit(False)).unionByName(
             before.withColumn("_state", F.lit(True)), allowMissingColumns=True
@@ -56,6 +57,7 @@ def busy_stream(
         )
         running = latest.join(horizon, endpoint).filter(F.col(finish) > F.col("_horizon"))
         running.select(*kept).write.mode("overwrite").parquet(f"{checkpoint}/running/{number}")
+        batch.unpersist()
 
     return (
         requests.writeStream.option("checkpointLocation", f"{checkpoint}/query")

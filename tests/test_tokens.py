@@ -97,7 +97,8 @@ def test_context(spark, docs):
     ids = brute_vocab(100)
     whole = [1, 1788, 13, ids["the"], ids["cat"], 2, 1, 1404, 13, ids["dog"], 2, 1, 9225, 13]
     for n_ctx in (5, 13, 14, 15):
-        row = T.encode_context(pairs, vocab, "s", "u", n_ctx).filter("s is not null").first()
+        row = T.encode_context(pairs, vocab, "s", "u", n_ctx, notice="cut").filter("s is not null").first()
+        assert row.notice == ("cut" if n_ctx < 14 else None)
         assert (row.context, row.n_tokens, row.over_context) == (whole[-n_ctx:], 14, n_ctx < 14)
 
 
