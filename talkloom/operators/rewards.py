@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 from talkloom import constants as C
 from talkloom.functions import strict_json as J
 from talkloom.operators.once import with_columns_once
+from talkloom.operators.scoring import read_actions
 
 Reward = Callable[[DataFrame], DataFrame]
 
 
-def action_reward(value: Column, expected: Column) -> Column:
-    """E10. 1 for the expected action, 0 for another or none, -1 for what cannot be read as one."""
-    content, action = J.content_of(value), J.action_of(value)
-    unreadable = value.isNull() | ~J.is_object(value) | (content.isNotNull() & ~J.is_object(content))
-    same = J.is_string(action) & (F.try_variant_get(action, "$", "string") == expected)
+def action_reward(value: str, expected: str) -> Column:
+    """E10. 1 for the expected action, 0 for another or none, -1 for what cannot be read as one.
+
+    Reads the columns that scoring.read_actions makes of `value`.
+    """
     return (
-        F.when(unreadable, F.lit(C.REWARD_UNPARSABLE))
-        .when(same, F.lit(C.REWARD_MATCH))
+        F.when(F.col(f"{value}_fault").isin(C.BAD_JSON, C.BAD_STRUCTURE), F.lit(C.REWARD_UNPARSABLE))
+        .when(F.col(f"{value}_text") == F.col(expected), F.lit(C.REWARD_MATCH))
         .otherwise(F.lit(C.REWARD_MISMATCH))
     )
 
@@ -30,10 +31,10 @@ def reward_action(
     completions: DataFrame, targets: DataFrame, on: str = "prompt_id", text: str = "completion"
 ) -> DataFrame:
     """E10. Add `reward`; `targets` has one `correct_action` per prompt, completions many."""
-    parsed = completions.withColumn("_value", J.strict_variant(F.col(text)))
+    parsed = read_actions(completions.withColumn("value", J.strict_variant(F.col(text))), "value")
     joined = parsed.join(targets.select(on, "correct_action"), on)
-    reward = action_reward(F.col("_value"), F.col("correct_action"))
-    return with_columns_once(joined, {"reward": reward}).drop("_value")
+    rewarded = with_columns_once(joined, {"reward": action_reward("value", "correct_action")})
+    return rewarded.select(*completions.columns, "correct_action", "reward")
 
 
 def apply_reward(completions: DataFrame, reward: Reward) -> DataFrame:

@@ -21,21 +21,41 @@ def align(prompts: DataFrame, answers: DataFrame, on: str = "example_id") -> Dat
     return prompts.join(answers, on, "left")
 
 
+def read_actions(df: DataFrame, value: str) -> DataFrame:
+    """Add what a parsed value says about its action.
+
+    <value>_fault is why there is none, <value>_text the action if it is a string, <value>_other its
+    JSON text if it is anything else.
+    """
+    action = f"{value}_action"
+    found = df.withColumn(action, J.action_of(F.col(value)))
+    found = found.withColumns(
+        {
+            f"{value}_fault": J.action_fault(F.col(value), F.col(action)),
+            f"{value}_text": J.string_of(F.col(action)),
+        }
+    )
+    other = F.when(F.col(f"{value}_text").isNull(), F.to_json(action))
+    return found.withColumn(f"{value}_other", other).drop(action)
+
+
 def parse_responses(df: DataFrame, response: str = "response", expected_answer: str | None = None) -> DataFrame:
-    """Parse once for all scorers: `value`, `block` and `block_value`, and `expected_value`.
+    """Parse once for all scorers: `value`, `block` and `block_value`, `expected_value`, and their actions.
 
     Columns nobody reads are pruned from the plan.
     """
-    parsed = df.withColumns(
-        {"value": J.strict_variant(F.col(response)), "block": J.json_block(F.col(response))}
-    )
-    same = F.col("block") == F.col(response)
-    parsed = parsed.withColumn(
-        "block_value",
-        F.when(same, F.col("value")).when(F.col("block") != "", J.strict_variant(F.col("block"))),
+    text = F.col(response)
+    parsed = df.withColumns({"value": J.strict_variant(text), "block": J.json_block(text)})
+    block_value = F.when(F.col("block") == text, F.col("value")).when(
+        F.col("block") != "", J.strict_variant(F.col("block"))
     )
+    parsed = parsed.withColumn("block_value", block_value)
+    values = ["value", "block_value"]
     if expected_answer is not None:
         parsed = parsed.withColumn("expected_value", J.strict_variant(F.col(expected_answer)))
+        values.append("expected_value")
+    for value in values:
+        parsed = read_actions(parsed, value)
     return parsed
 
 
@@ -44,110 +64,85 @@ def swap_quotes(text: Column) -> Column:
     return F.replace(text, F.lit("'"), F.lit('"'))
 
 
-def _outcome(reason: Column, passed: Column | None = None) -> Column:
-    return F.struct(
-        (reason == C.MATCH if passed is None else passed).alias("passed"), reason.alias("reason")
-    )
-
-
-def _fault(value: Column, path_checks: bool = True) -> Column:
-    """Why Content.Action of a parsed value cannot be read, null when it can."""
-    content = J.content_of(value)
-    checks = (
-        F.when(value.isNull(), F.lit(C.BAD_JSON))
-        .when(~J.is_object(value), F.lit(C.BAD_STRUCTURE))
-    )
-    if path_checks:
-        return (
-            checks.when(content.isNull(), F.lit(C.MISSING_KEY))
-            .when(~J.is_object(content), F.lit(C.BAD_STRUCTURE))
-            .when(J.action_of(value).isNull(), F.lit(C.MISSING_KEY))
-        )
-    return checks.when(content.isNotNull() & ~J.is_object(content), F.lit(C.BAD_STRUCTURE))
+def _match(same: Column) -> Column:
+    return F.when(same, F.lit(C.MATCH)).otherwise(F.lit(C.MISMATCH))
 
 
-def score_action(response: Column, value: Column, expected_value: Column) -> Column:
+def score_action(response: str = "response") -> Column:
     """E3. Both sides parsed; the two actions have to be the same JSON value, type included."""
-    unparsed = F.when(value.isNull() | expected_value.isNull(), F.lit(C.BAD_JSON))
-    same = F.to_json(J.action_of(value)) == F.to_json(J.action_of(expected_value))
-    reason = F.coalesce(
-        F.when(response.isNull(), F.lit(C.MISSING_RESPONSE)),
-        unparsed,
-        _fault(value),
-        _fault(expected_value),
-        F.when(same, F.lit(C.MATCH)).otherwise(F.lit(C.MISMATCH)),
+    value, expected = F.col("value_fault"), F.col("expected_value_fault")
+    same = F.col("value_text").eqNullSafe(F.col("expected_value_text")) & F.col("value_other").eqNullSafe(
+        F.col("expected_value_other")
+    )
+    return (
+        F.when(F.col(response).isNull(), F.lit(C.MISSING_RESPONSE))
+        .when(expected == C.BAD_JSON, F.lit(C.BAD_JSON))
+        .otherwise(F.coalesce(value, expected, _match(same)))
     )
-    return _outcome(reason)
-
-
-def _is_action(value: Column, expected: Column) -> Column:
-    action = J.action_of(value)
-    return J.is_string(action) & F.coalesce(F.try_variant_get(action, "$", "string") == expected, F.lit(False))
 
 
-def score_extracted(response: Column, block: Column, block_value: Column, expected: Column) -> Column:
+def score_extracted(response: str = "response", expected: str = "expected_action") -> Column:
     """E4. First "{" to last "}" of the response; missing keys are a mismatch without prediction."""
-    reason = F.coalesce(
-        F.when(response.isNull(), F.lit(C.MISSING_RESPONSE)),
-        F.when(block == "", F.lit(C.NO_JSON)),
-        _fault(block_value, path_checks=False),
-        F.when(_is_action(block_value, expected), F.lit(C.MATCH)).otherwise(F.lit(C.MISMATCH)),
+    fault = F.col("block_value_fault")
+    return (
+        F.when(F.col(response).isNull(), F.lit(C.MISSING_RESPONSE))
+        .when(F.col("block") == "", F.lit(C.NO_JSON))
+        .when(fault != C.MISSING_KEY, fault)
+        .otherwise(_match(F.col("block_value_text") == F.col(expected)))
     )
-    return _outcome(reason)
 
 
-def predicted_action(block: Column, block_value: Column) -> Column:
+def predicted_action() -> Column:
     """E4. The action the response names, or the marker that says why there is none."""
+    other = F.col("block_value_other")
     return (
-        F.when(block.isNull(), F.lit(None))
-        .when(block == "", F.lit(C.NO_JSON_MARKER))
-        .when(block_value.isNull(), F.lit(C.BAD_JSON_MARKER))
-        .otherwise(J.plain_text(J.action_of(block_value)))
+        F.when(F.col("block").isNull(), F.lit(None))
+        .when(F.col("block") == "", F.lit(C.NO_JSON_MARKER))
+        .when(F.col("block_value").isNull(), F.lit(C.BAD_JSON_MARKER))
+        .otherwise(F.coalesce("block_value_text", F.when(other != "null", other)))
+    )
+
+
+def score_direct(response: str = "response", expected: str = "expected_action") -> Column:
+    """E5. The whole response has to parse and hold both keys."""
+    return F.when(F.col(response).isNull(), F.lit(C.MISSING_RESPONSE)).otherwise(
+        F.coalesce("value_fault", _match(F.col("value_text") == F.col(expected)))
     )
 
 
-def score_direct(response: Column, value: Column, expected: Column) -> Column:
-    """E5. The whole response has to parse and hold both keys; otherwise `passed` is null."""
-    reason = F.coalesce(
-        F.when(response.isNull(), F.lit(C.MISSING_RESPONSE)),
-        _fault(value),
-        F.when(_is_action(value, expected), F.lit(C.MATCH)).otherwise(F.lit(C.MISMATCH)),
+def score_schema(response: str = "response") -> Column:
+    """E6 as a scorer."""
+    return (
+        F.when(F.col(response).isNull(), F.lit(C.MISSING_RESPONSE))
+        .when(F.col("value").isNull(), F.lit(C.BAD_JSON))
+        .when(J.conforms(F.col("value")), F.lit(C.MATCH))
+        .otherwise(F.lit(C.BAD_STRUCTURE))
     )
-    passed = F.when(reason.isin(C.MATCH, C.MISMATCH, C.MISSING_RESPONSE), reason == C.MATCH)
-    return _outcome(reason, passed)
+
+
+def _outcome(reason: Column) -> Column:
+    return F.struct((reason == C.MATCH).alias("passed"), reason.alias("reason"))
+
+
+def _outcome_if_read(reason: Column) -> Column:
+    """Unknown instead of failed where the response could not be read."""
+    read = reason.isin(C.MATCH, C.MISMATCH, C.MISSING_RESPONSE)
+    return F.struct(F.when(read, reason == C.MATCH).alias("passed"), reason.alias("reason"))
 
 
 @dataclass(frozen=True)
 class Scorer:
-    """M3. A named function of the parsed row to struct<passed, reason>."""
+    """M3. A named result per parsed row and how it becomes struct<passed, reason>."""
 
     name: str
-    column: Callable[[], Column]
-
-
-ACTION = Scorer(
-    "action", lambda: score_action(F.col("response"), F.col("value"), F.col("expected_value"))
-)
-EXTRACTED = Scorer(
-    "extracted",
-    lambda: score_extracted(
-        F.col("response"), F.col("block"), F.col("block_value"), F.col("expected_action")
-    ),
-)
-DIRECT = Scorer(
-    "direct", lambda: score_direct(F.col("response"), F.col("value"), F.col("expected_action"))
-)
-SCHEMA = Scorer(
-    "schema",
-    lambda: F.struct(
-        J.conforms(F.col("value")).alias("passed"),
-        F.when(F.col("response").isNull(), F.lit(C.MISSING_RESPONSE))
-        .when(F.col("value").isNull(), F.lit(C.BAD_JSON))
-        .when(J.conforms(F.col("value")), F.lit(C.MATCH))
-        .otherwise(F.lit(C.BAD_STRUCTURE))
-        .alias("reason"),
-    ),
-)
+    result: Callable[[], Column]
+    outcome: Callable[[Column], Column] = _outcome
+
+
+ACTION = Scorer("action", score_action)
+EXTRACTED = Scorer("extracted", score_extracted)
+DIRECT = Scorer("direct", score_direct, _outcome_if_read)
+SCHEMA = Scorer("schema", score_schema)
 
 
 def python_scorer(
@@ -173,12 +168,14 @@ def python_scorer(
             [one(row) for row in zip(prompts, responses, wanted)], columns=["passed", "reason"]
         )
 
-    return Scorer(name, lambda: run(prompt, response, expected))
+    return Scorer(name, lambda: run(prompt, response, expected), lambda result: result)
 
 
 def run_scorers(parsed: DataFrame, scorers: Sequence[Scorer]) -> DataFrame:
     """A3. One struct column per scorer, all on the same responses, named like the scorer."""
-    return with_columns_once(parsed, {s.name: s.column() for s in scorers})
+    results = {f"_result_{s.name}": s.result() for s in scorers}
+    outcomes = {s.name: s.outcome(F.col(f"_result_{s.name}")) for s in scorers}
+    return with_columns_once(parsed.withColumns(results), outcomes).drop(*results)
 
 
 def suite_metrics(scored: DataFrame, scorers: Sequence[Scorer]) -> DataFrame:
@@ -209,21 +206,19 @@ def with_accuracy(counts: DataFrame) -> DataFrame:
 
 
 def results_table(parsed: DataFrame, prompt: str, response: str, expected: str) -> DataFrame:
-    """E4. prompt, expected, predicted, full_response, passed and reason, next to the other columns."""
-    outcome = score_extracted(F.col(response), F.col("block"), F.col("block_value"), F.col(expected))
-    predicted = predicted_action(F.col("block"), F.col("block_value"))
-    scored = with_columns_once(parsed, {"_outcome": outcome, "_predicted": predicted})
+    """E4. prompt, expected, predicted, full_response, passed and reason."""
+    results = parsed.withColumns(
+        {"_reason": score_extracted(response, expected), "_predicted": predicted_action()}
+    )
     made = {
         "prompt": F.col(prompt),
         "expected": F.col(expected),
         "predicted": F.col("_predicted"),
         "full_response": F.col(response),
-        "passed": F.col("_outcome.passed"),
-        "reason": F.col("_outcome.reason"),
+        "passed": F.col("_reason") == C.MATCH,
+        "reason": F.col("_reason"),
     }
-    used = {*made, prompt, response, expected, "value", "block", "block_value", "expected_value"}
-    kept = [c for c in parsed.columns if c not in used]
-    return scored.select(*kept, *[column.alias(name) for name, column in made.items()])
+    return with_columns_once(results, made).select(*made)
 
 
 def failures(results: DataFrame) -> DataFrame:

@@ -60,15 +60,22 @@ def build_vocab(
 ) -> Vocabulary:
     """T1/A5. The `max_size` most frequent tokens; ids follow the special tokens.
 
-    Counts are combined before the shuffle, so a frequent token is no hot key, and only the
-    `max_size` kept rows are numbered.
+    Counts are combined before the shuffle, so a frequent token is no hot key. Rows below the
+    frequency that the last kept token has are dropped where they are, by a histogram of the
+    frequencies, so that the final sort gets about `max_size` rows and not all distinct tokens.
+    The histogram reads the same shuffled counts. Only the kept rows are numbered.
     """
     counts = (
         docs.select(F.explode(tokens_of(F.col(text), pattern)).alias("token"))
         .groupBy("token")
         .agg(F.count("*").alias("freq"))
     )
-    kept = counts.orderBy(F.desc("freq"), "token").limit(max_size)
+    per_freq = counts.groupBy("freq").agg(F.count("*").alias("n"))
+    at_least = F.sum("n").over(Window.orderBy(F.desc("freq")))
+    enough = per_freq.select("freq", at_least.alias("n")).filter(F.col("n") >= max_size)
+    lowest = enough.agg(F.coalesce(F.max("freq"), F.lit(0)))
+    frequent = counts.filter(F.col("freq") >= lowest.scalar())
+    kept = frequent.orderBy(F.desc("freq"), "token").limit(max_size)
     rank = F.row_number().over(Window.orderBy(F.desc("freq"), "token"))
     table = kept.select("token", "freq", (rank - 1 + len(specials)).alias("token_id"))
     return Vocabulary(table, max_size, tuple(specials), pattern)

@@ -63,7 +63,7 @@ def test_non_finite_numbers_are_rejected(spark, text):
 
 def test_last_of_equal_keys_wins(spark):
     df = spark.createDataFrame([('{"Content":{"Action":"A"},"Content":{"Action":"B"}}',)], "t string")
-    value = J.plain_text(J.action_of(J.strict_variant(F.col("t"))))
+    value = J.string_of(J.action_of(J.strict_variant(F.col("t"))))
     assert df.select(value).first()[0] == "B"
 
 
