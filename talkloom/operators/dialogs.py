@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.operators import scans
+from talkloom.operators import scans, skew
 
 CHUNK_TURNS = 256
 
@@ -151,7 +151,8 @@ def _with_halo(turns: DataFrame, max_history: int, chunk: int) -> DataFrame:
         .select("conv_id", "_s._system_turn", "_s._text")
     )
     earlier_system = F.when(F.col("_system_turn") < F.col("turn"), F.col("_text"))
-    return rows.join(systems, "conv_id", "left").withColumn("system", earlier_system)
+    joined = skew.join_unique(rows, systems, "conv_id", "left", chunk * 1024, counted=turns)
+    return joined.withColumn("system", earlier_system)
 
 
 def _as_examples(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talkloom import constants as C
 from talkloom.functions import strict_json as J
+from talkloom.operators import skew
 from talkloom.operators.once import with_columns_once
 from talkloom.operators.scoring import read_actions
 
@@ -28,11 +29,15 @@ def action_reward(value: str, expected: str) -> Column:
 
 
 def reward_action(
-    completions: DataFrame, targets: DataFrame, on: str = "prompt_id", text: str = "completion"
+    completions: DataFrame,
+    targets: DataFrame,
+    on: str = "prompt_id",
+    text: str = "completion",
+    task_rows: int = skew.TASK_ROWS,
 ) -> DataFrame:
     """E10. Add `reward`; `targets` has one `correct_action` per prompt, completions many."""
     parsed = read_actions(completions.withColumn("value", J.strict_variant(F.col(text))), "value")
-    joined = parsed.join(targets.select(on, "correct_action"), on)
+    joined = skew.join_unique(parsed, targets.select(on, "correct_action"), on, task_rows=task_rows)
     rewarded = with_columns_once(joined, {"reward": action_reward("value", "correct_action")})
     return rewarded.select(*completions.columns, "correct_action", "reward")
 
@@ -42,12 +47,18 @@ def apply_reward(completions: DataFrame, reward: Reward) -> DataFrame:
     return completions.transform(reward)
 
 
-def group_advantage(rewards: DataFrame, group: str = "prompt_id", eps: float = 1e-4, ddof: int = 1) -> DataFrame:
+def group_advantage(
+    rewards: DataFrame,
+    group: str = "prompt_id",
+    eps: float = 1e-4,
+    ddof: int = 1,
+    task_rows: int = skew.TASK_ROWS,
+) -> DataFrame:
     """E11. (reward - mean) / (deviation + eps) within a group, 0 for a group of one.
 
     Group statistics are combined before the shuffle and joined back, so the completions of one
-    prompt are never gathered in a task; a prompt with very many is left to the skew join. The
-    rewards are read twice: give a written table if making them is costly.
+    prompt are never gathered in a task, however many. The rewards are read more than once: give a
+    written table if making them is costly.
     """
     deviation = F.stddev_samp("reward") if ddof == 1 else F.stddev_pop("reward")
     stats = rewards.groupBy(group).agg(
@@ -55,4 +66,4 @@ def group_advantage(rewards: DataFrame, group: str = "prompt_id", eps: float = 1
     )
     centred = F.col("reward") - F.col("group_mean")
     advantage = F.coalesce(F.try_divide(centred, F.col("group_std") + eps), F.lit(0.0))
-    return rewards.join(stats, group).withColumn("advantage", advantage)
+    return skew.join_unique(rewards, stats, group, task_rows=task_rows).withColumn("advantage", advantage)

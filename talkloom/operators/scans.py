@@ -14,8 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TASK_ROWS = 1_000_000
-MAX_SLICES = 16_384
+from talkloom.operators import skew
+from talkloom.operators.skew import TASK_ROWS
 
 _HOT, _SLICE, _AT = "_hot", "_slice", "_at"
 
@@ -34,24 +34,17 @@ class Slices:
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: list[str], at: str, task_rows: int = TASK_ROWS, max_slices: int = MAX_SLICES
+    df: DataFrame, keys: list[str], at: str, task_rows: int = TASK_ROWS, max_slices: int = skew.MAX_HOT_KEYS
 ) -> Slices:
     """Add `_slice`: 0 for ordinary keys, the time slice for keys above `task_rows` rows.
 
-    At most `max_slices` keys are cut, the largest ones; by counting, every key after those holds at
-    most 1/max_slices of the rows. Runs one count per key, and a quantile job only if it found any.
+    Runs one count per key, and a quantile job only if that found any.
     """
-    spark = df.sparkSession
-    largest = (
-        df.groupBy(*keys).count().filter(F.col("count") > task_rows)
-        .orderBy(F.desc("count")).limit(max_slices)
-    )
-    hot = largest.collect()  # never more than max_slices rows
+    hot = skew.hot_keys(df, keys, task_rows)
     if not hot:
         return Slices(df.withColumn(_SLICE, F.lit(0)), keys, split=False)
-
-    hot_keys = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], df.select(*keys).schema)
-    marked = left_join_null_safe(df, F.broadcast(hot_keys.withColumn(_HOT, F.lit(True))), keys)
+    hot_table = skew.as_table(hot, df, keys).withColumn(_HOT, F.lit(True))
+    marked = skew.left_join_null_safe(df, F.broadcast(hot_table), keys)
 
     wanted = min(max_slices, -(-sum(r["count"] for r in hot) // task_rows))
     shares = [i / wanted for i in range(1, wanted)]
@@ -66,16 +59,9 @@ def slice_hot_keys(
     return Slices(sliced.withColumn(_SLICE, number).drop(_HOT, _AT), keys, split=True)
 
 
-def left_join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left equi-join in which a null key meets a null key; key columns of the left are kept."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
-
-
 def add_earlier(local: DataFrame, slices: Slices, totals: DataFrame) -> DataFrame:
     """Join per-slice `totals` of the earlier slices to the rows; one row per (key, slice)."""
-    return left_join_null_safe(local, totals, slices.group)
+    return skew.left_join_null_safe(local, totals, slices.group)
 
 
 def ordinal(
