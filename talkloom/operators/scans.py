@@ -18,6 +18,7 @@ from talkloom.operators import skew
 from talkloom.operators.skew import TASK_ROWS
 
 _HOT, _SLICE, _AT = "_hot", "_slice", "_at"
+_UNCUT = -1
 
 
 @dataclass(frozen=True)
@@ -32,17 +33,21 @@ class Slices:
     def group(self) -> list[str]:
         return [*self.keys, _SLICE]
 
+    def cut(self, rows: DataFrame) -> DataFrame:
+        """Rows of cut keys. A window per group lets this filter through to its input."""
+        return rows.filter(F.col(_SLICE) != _UNCUT)
+
 
 def slice_hot_keys(
     df: DataFrame, keys: list[str], at: str, task_rows: int = TASK_ROWS, max_slices: int = skew.MAX_HOT_KEYS
 ) -> Slices:
-    """Add `_slice`: 0 for ordinary keys, the time slice for keys above `task_rows` rows.
+    """Add `_slice`: -1 for ordinary keys, the time slice for keys above `task_rows` rows.
 
     Runs one count per key, and a quantile job only if that found any.
     """
     hot = skew.hot_keys(df, keys, task_rows)
     if not hot:
-        return Slices(df.withColumn(_SLICE, F.lit(0)), keys, split=False)
+        return Slices(df.withColumn(_SLICE, F.lit(_UNCUT)), keys, split=False)
     hot_table = skew.as_table(hot, df, keys).withColumn(_HOT, F.lit(True))
     marked = skew.left_join_null_safe(df, F.broadcast(hot_table), keys)
 
@@ -55,12 +60,12 @@ def slice_hot_keys(
     borders = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     cutter = Bucketizer(splits=borders, inputCol=_AT, outputCol=_SLICE, handleInvalid="keep")
     sliced = cutter.transform(marked.withColumn(_AT, F.col(at).cast("double")))
-    number = F.when(F.col(_HOT), F.col(_SLICE).cast("int")).otherwise(F.lit(0))
+    number = F.when(F.col(_HOT), F.col(_SLICE).cast("int")).otherwise(F.lit(_UNCUT))
     return Slices(sliced.withColumn(_SLICE, number).drop(_HOT, _AT), keys, split=True)
 
 
 def add_earlier(local: DataFrame, slices: Slices, totals: DataFrame) -> DataFrame:
-    """Join per-slice `totals` of the earlier slices to the rows; one row per (key, slice)."""
+    """Join `totals` of the earlier slices, one row per (key, slice) of the cut keys, to the rows."""
     return skew.left_join_null_safe(local, totals, slices.group)
 
 
@@ -75,12 +80,12 @@ def ordinal(
         return local.drop(_SLICE)
     earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        slices.rows.groupBy(*slices.group).agg(F.count("*").alias("_n"))
-        .select(*slices.group, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        slices.cut(slices.rows).groupBy(*slices.group).agg(F.count("*").alias("_n"))
+        .select(*slices.group, F.sum("_n").over(earlier).alias("_before"))
     )
     return (
         add_earlier(local, slices, totals)
-        .withColumn(name, F.col(name) + F.col("_before"))
+        .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
         .drop("_before", _SLICE)
     )
 
@@ -98,7 +103,7 @@ def earlier_max(
         return local.drop(_SLICE, "_value")
     earlier = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        slices.rows.groupBy(*slices.group).agg(F.max("_value").alias("_max"))
+        slices.cut(slices.rows).groupBy(*slices.group).agg(F.max("_value").alias("_max"))
         .select(*slices.group, F.max("_max").over(earlier).alias("_before"))
     )
     return (

@@ -36,16 +36,19 @@ def throttle_schedule(
         return _with_send(local, at, send, "_n", "_slack", "_peak", "_slice")
 
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     totals = (
-        local.groupBy(*slices.group)
+        slices.cut(local)
+        .groupBy(*slices.group)
         .agg(F.count("*").alias("_rows"), F.max("_slack").alias("_top"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_before", before)
         .withColumn("_earlier_peak", F.max(F.col("_top") - F.col("_before") * gap_us).over(earlier))
         .select(*slices.group, "_before", "_earlier_peak")
     )
     joined = scans.add_earlier(local, slices, totals)
-    peak = F.greatest(F.col("_peak") - F.col("_before") * gap_us, F.col("_earlier_peak"))
-    send = peak + (F.col("_n") + F.col("_before")) * gap_us
+    moved = F.coalesce("_before", F.lit(0))
+    peak = F.greatest(F.col("_peak") - moved * gap_us, F.col("_earlier_peak"))
+    send = peak + (F.col("_n") + moved) * gap_us
     return _with_send(joined, at, send, "_n", "_slack", "_peak", "_slice", "_before", "_earlier_peak")
 
 
