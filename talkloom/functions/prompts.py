@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -131,7 +131,7 @@ class ChatTemplate:
     before: Mapping[str, str]
     after: Mapping[str, str]
     start: str = ""
-    end: str = field(default="")
+    end: str = ""
 
 
 ROLE_TAGS = ChatTemplate(

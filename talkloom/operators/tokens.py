@@ -88,6 +88,7 @@ def encode(
     add_special: bool = False,
     unknown: str = "<unk>",
     bos: str = "<s>",
+    limit: int | None = None,
     row_id: str | None = None,
 ) -> DataFrame:
     """T2. Add an array of ids for every text column; `columns` maps text column to output column.
@@ -95,11 +96,12 @@ def encode(
     The usual vocabulary is one value that every task holds, so no text and no token is shuffled.
     A vocabulary above LOOKUP_ENTRIES is joined instead and needs `row_id`, a unique column.
     `add_special` puts BOS in front; leave it off for text that a chat template has marked already.
+    With `limit` only that many tokens of a text are looked up, for rows that are cut there (T3).
     """
     if vocab.max_size > LOOKUP_ENTRIES:
         if row_id is None:
             raise ValueError("a vocabulary of this size is joined by row: name a unique row_id column")
-        joined = _encode_joined(df, vocab, columns, row_id, unknown)
+        joined = _encode_joined(df, vocab, columns, row_id, unknown, limit)
         return _with_bos(joined, columns, vocab.special_id(bos)) if add_special else joined
     buckets = max(1, -(-vocab.max_size // _ENTRIES_PER_BUCKET))
     unknown_id = vocab.special_id(unknown)
@@ -110,12 +112,17 @@ def encode(
             bucket = F.get("_vocab", F.pmod(F.hash(token), F.lit(buckets)))
             return F.coalesce(F.element_at(bucket, token), F.lit(unknown_id))
 
-        return F.transform(tokens_of(F.col(text), vocab.pattern), look_up)
+        return F.transform(_limited_tokens(text, vocab, limit), look_up)
 
     encoded = with_vocab.withColumns({out: ids(text) for text, out in columns.items()}).drop("_vocab")
     return _with_bos(encoded, columns, vocab.special_id(bos)) if add_special else encoded
 
 
+def _limited_tokens(text: str, vocab: Vocabulary, limit: int | None) -> Column:
+    tokens = tokens_of(F.col(text), vocab.pattern)
+    return tokens if limit is None else F.slice(tokens, 1, limit)
+
+
 def _with_bos(df: DataFrame, columns: Mapping[str, str], bos_id: int) -> DataFrame:
     return df.withColumns({out: F.concat(F.array(F.lit(bos_id)), F.col(out)) for out in columns.values()})
 
@@ -136,7 +143,7 @@ def _bucketed(table: DataFrame, buckets: int) -> DataFrame:
 
 
 def _encode_joined(
-    df: DataFrame, vocab: Vocabulary, columns: Mapping[str, str], row_id: str, unknown: str
+    df: DataFrame, vocab: Vocabulary, columns: Mapping[str, str], row_id: str, unknown: str, limit: int | None
 ) -> DataFrame:
     """Ids by a join on the token, for a vocabulary too large to hold in every task.
 
@@ -146,7 +153,7 @@ def _encode_joined(
     unknown_id = F.lit(vocab.special_id(unknown))
     entries = vocab.table.select("token", "token_id")
     for text, out in columns.items():
-        tokens = df.select(row_id, F.posexplode_outer(tokens_of(F.col(text), vocab.pattern)).alias("_p", "token"))
+        tokens = df.select(row_id, F.posexplode_outer(_limited_tokens(text, vocab, limit)).alias("_p", "token"))
         pair = F.struct("_p", F.coalesce("token_id", unknown_id).alias("id"))
         ids = (
             tokens.join(entries, "token", "left")

@@ -9,6 +9,7 @@ from talkloom import schemas, session
 from talkloom.functions import prompts as P
 from talkloom.operators.inference import build_requests
 from talkloom.plans import inputs as I
+from talkloom.plans.flows import build_sft, chat_texts
 from talkloom.sinks.tables import write_jsonl
 from talkloom.sources.dialogues import read_sft
 
@@ -24,20 +25,10 @@ def _input() -> Column:
     return F.col("prompt.UserInput")
 
 
-def _user_prompt() -> Column:
-    return P.render_user_prompt(I.TEMPLATE, _history(), _actions(), _input())
-
-
 def _target(mode: str = "json") -> Column:
     return P.answer_target(F.col("answer.MessageText"), F.col("answer.Content.Action"), mode)
 
 
-def build_sft(examples: DataFrame) -> DataFrame:
-    """P5. system, user and bot next to the other columns of the examples."""
-    kept = [c for c in examples.columns if c not in ("system", "prompt", "answer")]
-    return examples.select(*kept, "system", _user_prompt().alias("user"), _target().alias("bot"))
-
-
 def dialog_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.examples(spark, sf_dir).select(
         "example_id", "conv_id", "turn", "system",
@@ -118,9 +109,7 @@ UNION ALL SELECT example_id, 2, 'assistant', bot FROM sft"""
 
 
 def chat_template_role_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sft = build_sft(I.examples(spark, sf_dir))
-    messages = P.to_messages(system=F.col("system"), user=F.col("user"), assistant=F.col("bot"))
-    return sft.select("example_id", P.apply_chat_template(messages, P.ROLE_TAGS).alias("text"))
+    return chat_texts(build_sft(I.examples(spark, sf_dir))).select("example_id", "text")
 
 
 CHAT_TEMPLATE_ROLE_TAGS = f"""WITH {SFT_SQL}

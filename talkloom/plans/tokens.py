@@ -10,6 +10,8 @@ from talkloom.functions import arrays as A
 from talkloom.operators import batches as B
 from talkloom.operators import tokens as T
 from talkloom.plans import inputs as I
+from talkloom.plans.flows import build_sft, chat_texts, training_rows
+from talkloom.plans.records import SFT_SQL
 
 VOCAB_SIZE = 2000
 CUTOFF = 64
@@ -59,10 +61,10 @@ def vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 VOCAB_TOPK = f"WITH {_vocab_sql('documents')} SELECT token, freq, token_id FROM vocab"
 
 
-def _encoded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.Vocabulary]:
+def _encoded(spark: SparkSession, sf_dir: str, limit: int | None = None) -> tuple[DataFrame, T.Vocabulary]:
     documents = _documents(spark, sf_dir)
     vocab = _vocab(documents)
-    return T.encode(documents, vocab, {"text": "ids"}), vocab
+    return T.encode(documents, vocab, {"text": "ids"}, limit=limit), vocab
 
 
 def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,9 +79,8 @@ SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, coalesce(array_to_string(ids,
 
 
 def encode_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded, vocab = _encoded(spark, sf_dir)
+    cut, vocab = _encoded(spark, sf_dir, CUTOFF)
     pad_id = vocab.special_id("<|pad|>")
-    cut = encoded.select("doc_id", A.truncate_right(F.col("ids"), CUTOFF).alias("ids"))
     return cut.select(
         "doc_id",
         _joined(A.pad_right(F.col("ids"), CUTOFF, pad_id)).alias("input_ids"),
@@ -96,6 +97,32 @@ SELECT doc_id,
 FROM cut"""
 
 
+def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From turns to padded ids in one plan: examples, records, chat texts, ids."""
+    texts = chat_texts(build_sft(I.examples(spark, sf_dir))).select("example_id", "text")
+    vocab = T.build_vocab(I.table(spark, sf_dir, "conversations"), "text", VOCAB_SIZE)
+    rows = training_rows(texts, vocab, 4 * CUTOFF)
+    return rows.select(
+        "example_id",
+        _joined(F.col("input_ids")).alias("input_ids"),
+        _joined(F.col("attention_mask")).alias("attention_mask"),
+    )
+
+
+TRAIN_ROWS = f"""WITH {SFT_SQL}, {_vocab_sql("conversations")},
+chats AS (SELECT example_id, concat('<s>system', chr(10), system, '</s><s>user', chr(10), "user", '</s><s>bot',
+  chr(10), bot, '</s>') AS txt FROM sft),
+positions AS (SELECT example_id, unnest({_tokens_sql("txt")}) AS token,
+  generate_subscripts({_tokens_sql("txt")}, 1) AS pos FROM chats),
+found AS (SELECT p.example_id, list(coalesce(v.token_id, 0) ORDER BY p.pos) AS ids
+  FROM positions p LEFT JOIN vocab v ON p.token = v.token GROUP BY p.example_id),
+cut AS (SELECT example_id, ids[1:{4 * CUTOFF}] AS ids FROM found)
+SELECT example_id,
+  rtrim(concat(array_to_string(ids, ' '), ' ', repeat('3 ', {4 * CUTOFF} - len(ids)))) AS input_ids,
+  rtrim(concat(repeat('1 ', len(ids)), repeat('0 ', {4 * CUTOFF} - len(ids)))) AS attention_mask
+FROM cut"""
+
+
 def encode_eos_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded, vocab = _encoded(spark, sf_dir)
     limit = 4 * CUTOFF
@@ -206,6 +233,7 @@ QUERIES = {
     "vocab_topk": (vocab_topk, VOCAB_TOPK),
     "encode_ids": (encode_ids, ENCODE_IDS),
     "encode_padded": (encode_padded, ENCODE_PADDED),
+    "train_rows": (train_rows, TRAIN_ROWS),
     "encode_eos_labels": (encode_eos_labels, ENCODE_EOS_LABELS),
     "context_tail": (context_tail, CONTEXT_TAIL),
     "length_profile": (length_profile, LENGTH_PROFILE),

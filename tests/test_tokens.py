@@ -45,6 +45,14 @@ def test_encode_by_join_gives_the_same(docs, monkeypatch):
     assert marked.ids == [vocab.special_id("<s>")]
 
 
+@pytest.mark.parametrize("entries", [2, 1000])
+def test_limit_is_truncation(docs, monkeypatch, entries):
+    monkeypatch.setattr(T, "LOOKUP_ENTRIES", entries)
+    vocab = T.build_vocab(docs, "text", 3)
+    got = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}, limit=2, row_id="id").collect()}
+    assert got == {i: ids and ids[:2] for i, ids in brute_encode(3).items()}
+
+
 def test_special_ids_are_optional(docs):
     vocab = T.build_vocab(docs, "text", 3)
     marked = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}, add_special=True).collect()}
