@@ -39,6 +39,10 @@ TARGET_START = "START"
 TARGET_END = "END"
 PAD_TOKEN = "<|pad|>"
 
+# Labels inside the reinforcement prompt.
+ACTIONS_LABEL = "\nAvailableActions: "
+USER_LABEL = "\nUser: "
+
 # Outcome names of the scorers.
 MATCH = "match"
 MISMATCH = "mismatch"

@@ -134,6 +134,7 @@ class ChatTemplate:
     end: str = ""
 
 
+# Two chat formats, as text.
 ROLE_TAGS = ChatTemplate(
     before={"system": "<s>system\n", "user": "<s>user\n", "assistant": "<s>bot\n"},
     after={"system": "</s>", "user": "</s>", "assistant": "</s>"},
@@ -169,8 +170,8 @@ def grpo_prompt(history: Column, actions: Column, user_input: Column) -> Column:
     """P8. First history line, the printed action list, the user line. Never the answer."""
     return F.concat(
         F.coalesce(F.get(history, F.lit(0)), F.lit("")),
-        F.lit("\nAvailableActions: "), python_list(actions),
-        F.lit("\nUser: "), user_input,
+        F.lit(C.ACTIONS_LABEL), python_list(actions),
+        F.lit(C.USER_LABEL), user_input,
     )
 
 

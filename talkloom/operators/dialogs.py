@@ -31,7 +31,7 @@ def history_line(role: Column, text: Column, names: Mapping[str, str] | None = N
     shown = role
     for name, display in (names or {}).items():
         shown = F.when(role == name, F.lit(display)).otherwise(shown)
-    return F.concat(shown, F.lit(": '"), text, F.lit("'"))
+    return F.concat(shown, F.lit(": '"), F.coalesce(text, F.lit("")), F.lit("'"))
 
 
 def expand_dialogs(

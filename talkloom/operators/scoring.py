@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -197,11 +198,32 @@ def pass_rate(results: DataFrame, by: Sequence[str] = (), passed: str = "passed"
     return with_accuracy(results.groupBy(*by).agg(*counts))
 
 
+# For each h, which way h + 1/2 hundredths go as a double: by its exact value, a true half to even.
+_HALF_GOES_UP = [
+    (Decimal((2 * h + 1) / 200), h % 2) > (Decimal(2 * h + 1) / 200, 0) for h in range(100)
+]
+
+
+def two_decimals(passed: Column, total: Column) -> Column:
+    """passed/total with two decimals as printf gives it for the quotient.
+
+    format_string rounds halves of the shortest decimal upwards and would show 1/8 as 0.13.
+    """
+    hundredths = F.call_function("div", passed * 100, total)
+    twice_rest = 2 * (passed * 100 - hundredths * total)
+    half_up = F.coalesce(F.get(F.lit(_HALF_GOES_UP), hundredths.cast("int")), F.lit(False))
+    goes_up = (twice_rest > total) | ((twice_rest == total) & half_up)
+    shown = hundredths + goes_up.cast("int")
+    text = F.concat(F.call_function("div", shown, F.lit(100)), F.lit("."), F.lpad((shown % 100).cast("string"), 2, "0"))
+    return F.when(total > 0, text).otherwise(F.lit("0.00"))
+
+
 def with_accuracy(counts: DataFrame) -> DataFrame:
-    accuracy = F.coalesce(F.try_divide(F.col("passed").cast("double"), F.col("total")), F.lit(0.0))
-    shown = F.concat(
-        F.format_string("%.2f", accuracy), F.lit(" ("), F.col("passed"), F.lit("/"), F.col("total"), F.lit(")")
-    )
+    """A1. accuracy, 0 without rows, and how it is shown: rate and counts."""
+    passed, total = F.col("passed"), F.col("total")
+    accuracy = F.coalesce(F.try_divide(passed.cast("double"), total), F.lit(0.0))
+    counted = F.concat(F.lit(" ("), passed, F.lit("/"), total, F.lit(")"))
+    shown = F.concat(two_decimals(passed, total), counted)
     return counts.withColumn("accuracy", accuracy).withColumn("shown", shown)
 
 

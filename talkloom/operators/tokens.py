@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from talkloom import constants as C
 from talkloom.functions import arrays
+from talkloom.operators import skew
 
 WORD = r"[^ \n\t\r]+"
 
@@ -147,8 +148,8 @@ def _encode_joined(
 ) -> DataFrame:
     """Ids by a join on the token, for a vocabulary too large to hold in every task.
 
-    A token that is in most rows is a hot join key; the adaptive skew join splits its rows, as the
-    vocabulary side has one row per token. A row's ids come back together under its `row_id`.
+    Frequent tokens are hot join keys and meet their entry by broadcast. A row's ids come back
+    together under its `row_id`.
     """
     unknown_id = F.lit(vocab.special_id(unknown))
     entries = vocab.table.select("token", "token_id")
@@ -156,7 +157,7 @@ def _encode_joined(
         tokens = df.select(row_id, F.posexplode_outer(_limited_tokens(text, vocab, limit)).alias("_p", "token"))
         pair = F.struct("_p", F.coalesce("token_id", unknown_id).alias("id"))
         ids = (
-            tokens.join(entries, "token", "left")
+            skew.join_unique(tokens, entries, "token", "left")
             .groupBy(row_id)
             .agg(F.array_sort(F.collect_list(F.when(F.col("_p").isNotNull(), pair))).alias("_pairs"))
             .select(row_id, F.transform("_pairs", lambda x: x["id"]).alias(out))

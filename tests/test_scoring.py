@@ -121,10 +121,17 @@ def test_python_scorer_keeps_other_rows_alive(spark):
     assert metrics == {"mine": (1, 3, "0.33 (1/3)"), "schema": (0, 3, "0.00 (0/3)")}
 
 
+def test_shown_rate_is_what_printf_shows(spark):
+    rows = [(p, t) for t in (1, 3, 7, 8, 16, 40, 200, 1000, 2000) for p in range(0, t + 1)]
+    df = spark.createDataFrame(rows, "passed long, total long")
+    wrong = [r for r in S.with_accuracy(df).collect() if r.shown != f"{r.passed / r.total:.2f} ({r.passed}/{r.total})"]
+    assert wrong == []
+
+
 def test_empty_results_have_rate_zero(spark):
     empty = spark.createDataFrame([], "passed boolean")
     row = S.pass_rate(empty).first()
-    assert (row.passed, row.total, row.accuracy) == (0, 0, 0.0)
+    assert (row.passed, row.total, row.accuracy, row.shown) == (0, 0, 0.0, "0.00 (0/0)")
 
 
 def test_align_shows_missing_answers_and_failures(spark):
