@@ -28,7 +28,7 @@ def busy_at_arrival(
         requests, [endpoint], start, tie, F.col(finish), "_any_until", task_rows
     )
     with_own = scans.earlier_max(
-        with_any, [endpoint, user], start, tie, F.col(finish), "_own_until", task_rows
+        with_any, [endpoint, user], start, tie, F.col(finish), "_own_until", task_rows, counted=requests
     )
     any_runs = F.coalesce(F.col("_any_until") > F.col(start), F.lit(False))
     own_runs = F.coalesce(F.col("_own_until") > F.col(start), F.lit(False))

@@ -39,27 +39,30 @@ class Slices:
 
 
 def slice_hot_keys(
-    df: DataFrame, keys: list[str], at: str, task_rows: int = TASK_ROWS, max_slices: int = skew.MAX_HOT_KEYS
+    df: DataFrame, keys: list[str], at: str, task_rows: int = TASK_ROWS, counted: DataFrame | None = None
 ) -> Slices:
     """Add `_slice`: -1 for ordinary keys, the time slice for keys above `task_rows` rows.
 
-    Runs one count per key, and a quantile job only if that found any.
+    Runs one count per key, and a quantile job only if that found any. `counted` has the keys and
+    times of `df` where `df` itself is costly to count.
     """
-    hot = skew.hot_keys(df, keys, task_rows)
+    source = df if counted is None else counted
+    hot = skew.hot_keys(source, keys, task_rows)
     if not hot:
         return Slices(df.withColumn(_SLICE, F.lit(_UNCUT)), keys, split=False)
     hot_table = skew.as_table(hot, df, keys).withColumn(_HOT, F.lit(True))
-    marked = skew.left_join_null_safe(df, F.broadcast(hot_table), keys)
 
-    wanted = min(max_slices, -(-sum(r["count"] for r in hot) // task_rows))
+    def mark(rows: DataFrame) -> DataFrame:
+        return skew.left_join_null_safe(rows, F.broadcast(hot_table), keys)
+
+    full = -(-sum(r["count"] for r in hot) // task_rows)
+    wanted = min(skew.MAX_HOT_KEYS, max(full, df.sparkSession.sparkContext.defaultParallelism))
     shares = [i / wanted for i in range(1, wanted)]
-    cuts: list[float] = []
-    if shares:
-        hot_rows = marked.filter(F.col(_HOT))
-        cuts = hot_rows.agg(F.percentile_approx(at, shares, max(10_000, 4 * wanted))).first()[0] or []
+    times = mark(source.select(*keys, at)).filter(F.col(_HOT))
+    cuts = times.agg(F.percentile_approx(at, shares, max(10_000, 4 * wanted))).first()[0] or []
     borders = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     cutter = Bucketizer(splits=borders, inputCol=_AT, outputCol=_SLICE, handleInvalid="keep")
-    sliced = cutter.transform(marked.withColumn(_AT, F.col(at).cast("double")))
+    sliced = cutter.transform(mark(df).withColumn(_AT, F.col(at).cast("double")))
     number = F.when(F.col(_HOT), F.col(_SLICE).cast("int")).otherwise(F.lit(_UNCUT))
     return Slices(sliced.withColumn(_SLICE, number).drop(_HOT, _AT), keys, split=True)
 
@@ -91,10 +94,17 @@ def ordinal(
 
 
 def earlier_max(
-    df: DataFrame, keys: list[str], at: str, tie: str, value: Column, name: str, task_rows: int = TASK_ROWS
+    df: DataFrame,
+    keys: list[str],
+    at: str,
+    tie: str,
+    value: Column,
+    name: str,
+    task_rows: int = TASK_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Largest `value` among the earlier rows of the key, null for the first row."""
-    slices = slice_hot_keys(df.withColumn("_value", value), keys, at, task_rows)
+    slices = slice_hot_keys(df.withColumn("_value", value), keys, at, task_rows, counted)
     before = (
         Window.partitionBy(*slices.group).orderBy(at, tie).rowsBetween(Window.unboundedPreceding, -1)
     )
