@@ -77,6 +77,14 @@ def test_action_scorer(spark):
         assert r.action.passed is (r.rule == "match")
 
 
+@pytest.mark.parametrize("other, passed", [("1.0", True), ("1e0", False), ("true", False), ('"1"', False), ("[1]", False)])
+def test_number_as_action(spark, other, passed):
+    texts = ['{"Content":{"Action":%s}}' % v for v in ("1", other)]
+    df = spark.createDataFrame([tuple(texts)], "response string, expected_answer string")
+    row = S.run_scorers(S.parse_responses(df, "response", "expected_answer"), [S.ACTION]).first()
+    assert row.action.passed is passed
+
+
 def test_extracting_scorer_and_direct_scorer(spark):
     df = spark.createDataFrame([(r, "A") for r in RESPONSES], "response string, expected_action string")
     parsed = S.parse_responses(df)
