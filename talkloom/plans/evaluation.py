@@ -69,13 +69,15 @@ FROM scored"""
 
 
 def score_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _outcome(spark, sf_dir, S.DIRECT)
+    known = F.coalesce(F.col("passed").cast("string"), F.lit("unknown"))
+    return _outcome(spark, sf_dir, S.DIRECT).withColumn("passed", known)
 
 
 # an action that is not a string differs from every expected action, as in action_reason
 SCORE_DIRECT = f"""WITH {_SCORED}
-SELECT example_id, CASE WHEN action_reason IN ('match', 'mismatch', 'missing_response')
-  THEN action_reason = 'match' END AS passed, action_reason AS reason
+SELECT example_id, CASE WHEN action_reason = 'match' THEN 'true'
+  WHEN action_reason IN ('mismatch', 'missing_response') THEN 'false' ELSE 'unknown' END AS passed,
+  action_reason AS reason
 FROM scored"""
 
 
