@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
+_MAP_KEYS = "spark.sql.mapKeyDedupPolicy"
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let the variant parser keep the last of two equal keys, as JSON readers in Python do."""
+    """Let parsed variants and maps keep the last of two equal keys, as JSON readers in Python do."""
     spark.conf.set(_DUPLICATE_KEYS, "true")
+    spark.conf.set(_MAP_KEYS, "LAST_WIN")
     return spark
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkloom import schemas
+from talkloom import schemas, session
 from talkloom.functions import prompts
 
 
@@ -18,9 +18,10 @@ def read_dialogues(spark: SparkSession, path: str, system: str | None = None) ->
 
     One file is one JSON document and is read by one task; for a large corpus keep one example per
     line and use read_examples. `system` stands in for a missing system text. A document that has
-    examples in neither form is an error.
+    examples in neither form is an error. Of examples with the same id the last one counts, in the
+    place of the first.
     """
-    raw = spark.read.text(path, wholetext=True).select(
+    raw = session.prepare(spark).read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
         F.from_json("value", schemas.DIALOG_MAP).alias("m"),
         F.from_json("value", schemas.DIALOG_ARRAY).alias("a"),
@@ -28,8 +29,9 @@ def read_dialogues(spark: SparkSession, path: str, system: str | None = None) ->
     )
     bad = F.raise_error(F.concat(F.lit("no examples in "), F.col("file")))
     entry = "array<struct<key:string,value:" + schemas.EXAMPLE.simpleString() + ">>"
+    by_id = F.map_from_entries(F.map_entries("m.examples"))
     numbered = F.transform("a.examples", lambda e, i: F.struct(i.cast("string").alias("key"), e.alias("value")))
-    entries = F.coalesce(F.map_entries("m.examples").cast(entry), numbered.cast(entry), bad.cast(entry))
+    entries = F.coalesce(F.map_entries(by_id).cast(entry), numbered.cast(entry), bad.cast(entry))
     text = F.coalesce("m.system", "a.system", F.lit(system).cast("string"))
     return raw.select("file", text.alias("system"), F.posexplode(entries).alias("pos", "e")).select(
         "file", "system", "pos", F.col("e.key").alias("example_id"), "e.value.prompt", "e.value.answer"

@@ -32,6 +32,13 @@ def test_both_shapes_of_dialogue_files(spark, tmp_path):
     assert D.read_dialogues(spark, str(tmp_path)).count() == 5
 
 
+def test_last_of_equal_ids_counts(spark, tmp_path):
+    one, two, three = (json.dumps(example(t)) for t in ("1", "2", "3"))
+    (tmp_path / "d.json").write_text(f'{{"examples":{{"a":{one},"b":{two},"a":{three}}}}}')
+    rows = D.read_dialogues(spark, str(tmp_path / "d.json")).orderBy("pos").collect()
+    assert [(r.pos, r.example_id, r.prompt.UserInput) for r in rows] == [(0, "a", "3"), (1, "b", "2")]
+
+
 @pytest.mark.parametrize("value", [{"system": "s"}, {"examples": 3}, []])
 def test_file_without_examples_is_an_error(spark, tmp_path, value):
     with pytest.raises(Exception, match="no examples in"):
