@@ -27,7 +27,7 @@ REPEATS = 2.0
 #: Words of a block. Rounding moves a shard by less than a block, so blocks are small against shards.
 BLOCK_WORDS = 32
 #: Words of a shard, about: the rows that one window holds.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 1_000_000
 SEED = 17
 
 

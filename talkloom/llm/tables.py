@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,20 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def shipped(df: DataFrame) -> DataFrame:
+    """df, once the executors' Python has this package, whose functions are about to run on its rows."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_llm_shipped", False):
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._llm_shipped = True
+    return df
+
+
 def units(df: DataFrame, bytes_each: int, size) -> int:
     """How many shards of about bytes_each the column expression size (bytes of a row) makes; at least one."""
     total = df.agg(F.sum(size).alias("n")).first()["n"] or 0
