@@ -61,18 +61,19 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
 
 
-def tokens(texts: buffers.Texts) -> tuple[buffers.Runs, np.ndarray]:
-    """Words of a chunk, and their features: a row for each token, -1 where a beginning would be the whole word or longer."""
+def tokens(texts: buffers.Texts) -> tuple[buffers.Runs, np.ndarray, np.ndarray]:
+    """Words of a chunk, their hashes, and their features: a row for each token, -1 where a beginning would be the whole word or longer."""
     lower = buffers.Texts(buffers.LOWER[texts.data], texts.starts, texts.ends, texts.first)
     found = buffers.runs(lower, _WORD)
     hasher, length = buffers.Hasher(lower.data), found.ends - found.starts
     shift = np.uint64(64 - BITS)
     features = np.full((len(length), 1 + len(BEGINNINGS)), -1, np.int32)
-    features[:, 0] = hasher(found.starts, found.ends) >> shift
+    whole = hasher(found.starts, found.ends)
+    features[:, 0] = whole >> shift
     for i, n in enumerate(BEGINNINGS, 1):
         longer = length > n
         features[longer, i] = hasher(found.starts[longer], found.starts[longer] + n) >> shift
-    return found, features
+    return found, whole, features
 
 
 def emissions(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -146,22 +147,57 @@ def evidence(toxic: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.ones(n), np.log(top / (1 - top)) / 5, np.log(total)], axis=1)
 
 
-def _marks(features: np.ndarray, word: np.ndarray, rows: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Flags of the beginnings that mark toxic tokens, by the documents that hold them and their surroundings."""
-    size = 1 << BITS
-    near = np.zeros(len(rows), np.uint64)
-    near[1:] = word[:-1].astype(np.uint64) * np.uint64(31)
-    near[:-1] += word[1:].astype(np.uint64)
-    near = buffers.mixed(near) >> np.uint64(40)
+@dataclass
+class _Sample:
+    """Tokens of the sample: the word (a row of forms, its features) and the text of each."""
+
+    forms: np.ndarray
+    kind: np.ndarray
+    rows: np.ndarray
+
+    def steps(self, size: int = 1 << 17):
+        """Slices of whole texts, so that temporary arrays stay small."""
+        low = 0
+        while low < len(self.rows):
+            high = min(len(self.rows), low + size)
+            high = int(np.searchsorted(self.rows, self.rows[high - 1], "right"))
+            yield slice(low, high)
+            low = high
+
+
+def _sample(texts: pa.Array) -> _Sample:
+    names, forms, rows = [], [], []
+    for chunk in buffers.chunks(buffers.from_arrow(texts)):
+        found, whole, features = tokens(chunk)
+        fresh, at = np.unique(whole, return_index=True)
+        names.append(whole)
+        forms.append((fresh, features[at]))
+        rows.append((found.rows + chunk.first).astype(np.int32))
+    if not names:
+        return _Sample(np.zeros((0, 1), np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    every, at = np.unique(np.concatenate([n for n, _ in forms]), return_index=True)
+    kind = np.concatenate([np.searchsorted(every, n).astype(np.int32) for n in names])
+    return _Sample(np.concatenate([f for _, f in forms])[at], kind, np.concatenate(rows))
+
+
+def _marks(sample: _Sample, label: np.ndarray) -> np.ndarray:
+    """Flags of the features that mark toxic tokens, by the documents that hold them and their surroundings."""
+    size, kind = 1 << BITS, sample.kind.astype(np.uint64)
+    near = np.zeros(len(kind), np.uint64)
+    near[1:] = kind[:-1] * np.uint64(31)
+    near[:-1] += kind[1:]
+    near = (buffers.mixed(near) >> np.uint64(40)).astype(np.int64)
+    bad = label[sample.rows] == 1
+    held = np.unique(sample.kind.astype(np.int64) << 32 | sample.rows)
+    around_bad = np.unique(sample.kind[bad].astype(np.int64) << 24 | near[bad])
     toxic_docs, docs, around = (np.zeros(size) for _ in range(3))
-    for column in features.T:
-        got = np.flatnonzero(column >= 0)
-        pairs = np.unique(column[got].astype(np.int64) << 32 | rows[got])
-        held = pairs >> 32
-        docs += np.bincount(held, minlength=size)
-        toxic_docs += np.bincount(held, label[pairs & 0xFFFFFFFF], size)
-        bad = got[label[rows[got]] == 1]
-        seen = np.unique(column[bad].astype(np.int64) << 24 | near[bad].astype(np.int64))
+    for column in sample.forms.T:
+        feature = column[held >> 32].astype(np.int64)
+        pairs = np.unique((feature << 32 | held & 0xFFFFFFFF)[feature >= 0])
+        docs += np.bincount(pairs >> 32, minlength=size)
+        toxic_docs += np.bincount(pairs >> 32, label[pairs & 0xFFFFFFFF], size)
+        feature = column[around_bad >> 24].astype(np.int64)
+        seen = np.unique((feature << 24 | around_bad & 0xFFFFFF)[feature >= 0])
         around += np.bincount(seen >> 24, minlength=size)
     base = label.mean()
     spread = np.sqrt(np.maximum(docs * base * (1 - base), 1e-9))
@@ -170,37 +206,32 @@ def _marks(features: np.ndarray, word: np.ndarray, rows: np.ndarray, label: np.n
 
 def fit(texts: pa.Array, label: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Maximum likelihood of the token labels with a quadratic penalty, by scaled gradient steps."""
-    parts = [(f.rows + c.first, f, x) for c in buffers.chunks(buffers.from_arrow(texts)) for f, x in [tokens(c)]]
-    if not parts or not label.any() or label.all():
-        return Model.empty()
-    rows = np.concatenate([r for r, _, _ in parts])
-    features = np.concatenate([x for _, _, x in parts])
-    if not len(rows):
+    sample = _sample(texts)
+    rows, kind, forms = sample.rows, sample.kind, sample.forms
+    if not len(rows) or not label.any() or label.all():
         return Model.empty()
-    marks = _marks(features, features[:, 0], rows, label)
-    tagged = (np.append(marks, False)[features].any(axis=1) & (label[rows] == 1)).astype(float)
-    new = np.ones(len(rows), bool)
-    new[1:] = rows[1:] != rows[:-1]
-    size = 1 << BITS
-    # equal words have equal features, so sums over features go over words, not tokens
-    _, one, kind = np.unique(features[:, 0], return_index=True, return_inverse=True)
-    forms = features[one]
+    marked = np.append(_marks(sample, label), False)[forms].any(axis=1)
+    tagged = marked[kind] & (label[rows] == 1)
+    size, n = 1 << BITS, len(forms)
     flat, where = forms[forms >= 0], np.nonzero(forms >= 0)[0]
     model = Model(np.zeros(size, np.float32), np.log(np.array([0.98, 0.02, 0.9, 0.1])), -3.0, np.zeros(3))
     prior = np.zeros(size)
-    state = (tagged[:-1] * 2 + tagged[1:]).astype(int)[~new[1:]]
-    seen_pairs = np.bincount(state, minlength=4).astype(float)
+    inner = rows[1:] == rows[:-1]
+    seen_pairs = np.bincount((tagged[:-1].astype(int) * 2 + tagged[1:])[inner], minlength=4).astype(float)
     for _ in range(rounds):
-        p, pair = marginals(emissions(model.weights, forms)[kind], rows, model.chain, model.bias)
-        gap = tagged - p
-        push = np.bincount(flat, np.bincount(kind, gap)[where], size) - 0.05 * model.weights
-        curve = np.bincount(flat, np.bincount(kind, p * (1 - p))[where], size) * features.shape[1] + 1.0
-        prior = 0.5 * prior + push / curve
+        by_form, gaps, curves, found = emissions(model.weights, forms), np.zeros(n), np.zeros(n), np.zeros(4)
+        for part in sample.steps():
+            p, pair = marginals(by_form[kind[part]], rows[part], model.chain, model.bias)
+            gaps += np.bincount(kind[part], tagged[part] - p, n)
+            curves += np.bincount(kind[part], p * (1 - p), n)
+            found += pair.sum(axis=0)
+        push = np.bincount(flat, gaps[where], size) - 0.05 * model.weights
+        prior = 0.5 * prior + push / (np.bincount(flat, curves[where], size) * forms.shape[1] + 1.0)
         model.weights = np.clip(model.weights + prior, -8, 8).astype(np.float32)
-        model.bias += float(np.clip(gap.sum() / ((p * (1 - p)).sum() + 1), -0.5, 0.5))
-        found = pair.sum(axis=0)
+        model.bias += float(np.clip(gaps.sum() / (curves.sum() + 1), -0.5, 0.5))
         model.chain = np.clip(model.chain + 0.3 * np.log((seen_pairs + 1) / (found + 1)), -12, 4)
-    toxic, _ = marginals(emissions(model.weights, forms)[kind], rows, model.chain, model.bias)
+    by_form = emissions(model.weights, forms)
+    toxic = np.concatenate([marginals(by_form[kind[part]], rows[part], model.chain, model.bias)[0] for part in sample.steps()])
     model.aggregate = _logistic(evidence(toxic, rows, len(label)), label)
     return model
 
@@ -246,7 +277,7 @@ def _spans(found: buffers.Runs, toxic: np.ndarray, texts: buffers.Texts) -> list
 def score_texts(model: Model, column: pa.Array) -> tuple[np.ndarray, list[str]]:
     scores, spans = [np.zeros(0)], []
     for chunk in buffers.chunks(buffers.from_arrow(column)):
-        found, features = tokens(chunk)
+        found, _, features = tokens(chunk)
         toxic, _ = marginals(emissions(model.weights, features), found.rows, model.chain, model.bias)
         z = evidence(toxic, found.rows, len(chunk)) @ model.aggregate
         scores.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
