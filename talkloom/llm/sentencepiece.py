@@ -16,6 +16,7 @@ change. Null texts count as empty and have no ids; rows are independent, so repe
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +33,7 @@ from talkloom.llm.tables import shipped
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 600_000
 #: A word longer than this is not kept.
 _LONG_WORD = 64
 #: How far below the lowest score a character lies that is no piece.
@@ -48,7 +49,8 @@ class _Words(dict):
         self._codec = codec
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.fromiter(self._codec.search(word.replace(" ", SPACE)), np.int32).tobytes()
+        text = word.replace(" ", SPACE)
+        ids = array("i", self._codec.search_short(text) if len(text) <= 2 * self._codec.longest else self._codec.search(text)).tobytes()
         if len(word) <= _LONG_WORD:
             if len(self) >= KEPT_WORDS:
                 self.clear()
@@ -68,6 +70,9 @@ class Codec:
         self.prefix = proto.normalizer_spec.add_dummy_prefix
         plain = [i for i in ids if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i) or lib.is_unused(i))]
         self.pieces = {lib.id_to_piece(i): (i, lib.get_score(i)) for i in reversed(plain)}
+        # pieces by text, and None for what pieces begin with
+        self._begun: dict[str, tuple[int, float] | None] = {p[:n]: None for p in self.pieces for n in range(1, len(p))}
+        self._begun.update(self.pieces)
         self.longest = max((len(p) for p in self.pieces), default=1)
         self.bytes = {int(lib.id_to_piece(i)[3:5], 16): i for i in ids if lib.is_byte(i)}
         self.unknown = lib.unk_id()
@@ -109,6 +114,35 @@ class Codec:
                     look = 2 * (end - base)
         yield from self._path(text, base, len(text), back)
 
+    def search_short(self, text: str) -> list[int]:
+        """The same for a text within the window, from each position on as far as any piece goes."""
+        get, n = self._begun.get, len(text)
+        scores: list[float | None] = [0.0] + [None] * n
+        back, names = [0] * (n + 1), [-1] * (n + 1)
+        for start in range(n):
+            score, single, stop = scores[start], False, start + 1
+            while stop <= n:
+                hit = get(text[start:stop], 0)
+                if hit == 0:
+                    break
+                if hit is not None:
+                    total, known = score + hit[1], scores[stop]
+                    if known is None or total > known:
+                        scores[stop], back[stop], names[stop] = total, start, hit[0]
+                    single = single or stop == start + 1
+                stop += 1
+            if not single:
+                total, known = score + self.unknown_score, scores[start + 1]
+                if known is None or total > known:
+                    scores[start + 1], back[start + 1], names[start + 1] = total, start, -1
+        out: list[int] = []
+        while n:
+            start = back[n]
+            out += [names[n]] if names[n] >= 0 else reversed(self._spelt(text[start:n]))
+            n = start
+        out.reverse()
+        return out
+
     @staticmethod
     def _meeting(ends: range, base: int, back: list[int]) -> int:
         """The last boundary that the paths to all of the ends go through."""
