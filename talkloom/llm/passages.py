@@ -13,7 +13,7 @@ Strings are judged on the input and overlap. Suffixes only need to be told apart
    such bucket is sent back.
 4. A shard finds its runs again and marks the bytes of strings that a smaller doc_id has.
 
-All messages are packed arrays. doc_id null counts as the largest; rows of equal doc_id are one document and take nothing from each
+All messages are packed arrays, bytes of runs compressed. doc_id null counts as the largest; rows of equal doc_id are one document and take nothing from each
 other. Null texts count as empty. Texts shorter than a string lose nothing. Extra columns are ignored. An empty table gives no rows.
 """
 
@@ -152,7 +152,7 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes)."""
     n = shards.shard_count(docs, shard_bytes)
     spread = shards.sharded(docs.select(F.col("doc_id").cast("long"), "text"), n)
-    shared = shards.shared_keys(spread, _keys_of, n)
+    shared = shards.shared_keys(spread, _keys_of, n, with_least=False)
 
     def send(table: pa.Table, got: pa.Table) -> pa.Table:
         columns: dict[str, list] = {c.split()[0]: [] for c in _RUNS.split(", ")}
@@ -186,15 +186,18 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
                     columns["counts"].append(_blob(counts[own], np.uint32))
                     columns["low"].append(_blob(low[part]))
                     columns["high"].append(_blob(high[part]))
-                    columns["bytes"].append(_blob(_ragged(data, begins[own], sizes[own])))
+                    columns["bytes"].append(pa.compress(_ragged(data, begins[own], sizes[own]).tobytes(), "zstd", asbytes=True))
         return pa.table({k: pa.array(v, pa.int64() if k in ("_shard", "bucket") else pa.binary()) for k, v in columns.items()})
 
     def refine(table: pa.Table) -> pa.Table:
         read = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).to_pylist()]
         per_row = read("digests", np.uint64)
         digest, counts = np.concatenate(per_row), np.concatenate(read("counts", np.uint32)).astype(np.int64)
-        low, high, data = np.concatenate(read("low", np.int64)), np.concatenate(read("high", np.int64)), np.concatenate(read("bytes", np.uint8))
+        low, high = np.concatenate(read("low", np.int64)), np.concatenate(read("high", np.int64))
         sizes = counts + LENGTH - 1
+        ends = np.cumsum([len(x) for x in per_row])
+        room = [int(sizes[e - len(x) : e].sum()) for x, e in zip(per_row, ends, strict=True)]
+        data = np.concatenate([np.frombuffer(pa.decompress(x, size, "zstd"), np.uint8) for x, size in zip(table.column("bytes").to_pylist(), room, strict=True)])
         begins = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(counts)), counts)
         first = np.cumsum(counts) - counts

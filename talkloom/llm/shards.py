@@ -62,9 +62,10 @@ _SENT = "_shard long, bucket long, keys binary, docs binary, least binary"
 _SHARED = "_shard long, keys binary, docs binary, least binary"
 
 
-def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.ndarray, np.ndarray]], n: int, least_docs: int = 2) -> DataFrame:
+def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.ndarray, np.ndarray]], n: int, least_docs: int = 2, with_least: bool = True) -> DataFrame:
     """_shard, keys (uint64), docs (uint32, how many documents have it), least (int64, smallest doc_id): packed, keys in order, for every
-    shard only its own keys that at least least_docs documents have. keys_of gives keys and rows for the texts of a chunk."""
+    shard only its own keys that at least least_docs documents have. keys_of gives keys and rows for the texts of a chunk. Without with_least
+    the smallest doc_ids are left out (null) of all messages."""
     n_buckets = max(1, -(-n // SHARDS_A_BUCKET))
 
     def send(table: pa.Table) -> pa.Table:
@@ -91,15 +92,15 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
             "bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
             "keys": pa.array([_packed(keys[p], np.uint64) for p in parts], pa.binary()),
             "docs": pa.array([_packed(np.minimum(counts[p], 2**32 - 1), np.uint32) for p in parts], pa.binary()),
-            "least": pa.array([_packed(least[p], np.int64) for p in parts], pa.binary()),
+            "least": pa.array([_packed(least[p], np.int64) if with_least else None for p in parts], pa.binary()),
         })
 
     def add(table: pa.Table) -> pa.Table:
-        keys, docs, least = _unpacked(table.column("keys"), np.uint64), _unpacked(table.column("docs"), np.uint32), _unpacked(table.column("least"), np.int64)
+        keys, docs = _unpacked(table.column("keys"), np.uint64), _unpacked(table.column("docs"), np.uint32)
         every = np.concatenate(keys)
         order, starts = grouped(every)
         total = np.add.reduceat(np.concatenate(docs)[order].astype(np.int64), starts)
-        smallest = np.minimum.reduceat(np.concatenate(least)[order], starts)
+        smallest = np.minimum.reduceat(np.concatenate(_unpacked(table.column("least"), np.int64))[order], starts) if with_least else None
         names = every[order][starts]
         out: dict[str, list] = {"_shard": [], "keys": [], "docs": [], "least": []}
         for shard, mine in zip(table.column("_shard").to_pylist(), keys, strict=True):
@@ -109,7 +110,7 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
                 out["_shard"].append(shard)
                 out["keys"].append(_packed(mine[got], np.uint64))
                 out["docs"].append(_packed(np.minimum(total[at][got], 2**32 - 1), np.uint32))
-                out["least"].append(_packed(smallest[at][got], np.int64))
+                out["least"].append(_packed(smallest[at][got], np.int64) if with_least else None)
         return pa.table({k: pa.array(v, pa.int64() if k == "_shard" else pa.binary()) for k, v in out.items()})
 
     sent = shipped(shards).groupBy("_shard").applyInArrow(send, _SENT)
@@ -120,7 +121,8 @@ def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What one shard got from all buckets: keys in order, docs, least."""
     if not len(table):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    keys, docs, least = (np.concatenate(_unpacked(table.column(c), k)) for c, k in (("keys", np.uint64), ("docs", np.uint32), ("least", np.int64)))
+    keys, docs = (np.concatenate(_unpacked(table.column(c), k)) for c, k in (("keys", np.uint64), ("docs", np.uint32)))
+    least = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("least").to_pylist() if x is not None] or [np.zeros(len(keys), np.int64)])
     order = np.argsort(keys)
     return keys[order], docs[order], least[order]
 
