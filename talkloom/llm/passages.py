@@ -2,7 +2,7 @@
 
 Strings are judged on the input and overlap. Suffixes only need to be told apart to that length, and only where a string may repeat:
 
-1. Every string has a key, the smallest hash of its 16-byte grams, so equal strings have equal keys. Neighbouring strings of a key are
+1. Every string has a key, the smallest hash of its 24-byte grams, so equal strings have equal keys. Neighbouring strings of a key are
    one run of bytes. Keys that two documents share are found by shards (shards.py).
 2. A shard sends each different run of a shared key once to the key's bucket, with the smallest and largest doc_id that has it in the
    shard. Keys of very many documents (a common line in ever new surroundings) are sent as single strings, keyed by their own hash,
@@ -29,9 +29,10 @@ from pyspark.sql import functions as F
 from talkloom.llm import buffers, shards
 
 LENGTH = 50
-GRAM = 16
+GRAM = 24
 #: Documents of a key from which its strings are sent one by one.
 MANY_DOCS = 4096
+BUCKETS_A_SHARD = 2
 
 _WINDOW = LENGTH - GRAM + 1
 _NAMES = buffers.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -54,8 +55,10 @@ def keyed_runs(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray
     if n < 1 or not long.any():
         return none, none, none.astype(np.uint64), none
     h = _NAMES[texts.data]
-    for step in (1, 2, 4, 8):
+    for step in (1, 2, 4):
         h = h[:-step] * np.uint64(0x9E3779B97F4A7C15 + 2 * step) + h[step:]
+    # three eights make a gram
+    h = (h[:-16] * np.uint64(0xD6E8FEB86659FD93) + h[8:-8]) * np.uint64(0xD6E8FEB86659FD93) + h[16:]
     key = _sliding(buffers.mixed(h), _WINDOW, np.minimum)
     inside = np.zeros(n + 1, np.int32)
     np.add.at(inside, texts.starts[long], 1)
@@ -176,7 +179,7 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
                 order, fresh = shards.grouped(digest)
                 low, high = np.minimum.reduceat(low[order], fresh), np.maximum.reduceat(high[order], fresh)
                 one = order[fresh]
-                bucket = (keys[one] % np.uint64(n)).astype(np.int64)
+                bucket = (keys[one] % np.uint64(n * BUCKETS_A_SHARD)).astype(np.int64)
                 order, fresh = shards.grouped(bucket)
                 for part in np.split(order, fresh[1:]):
                     own = one[part]
@@ -199,31 +202,48 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
         room = [int(sizes[e - len(x) : e].sum()) for x, e in zip(per_row, ends, strict=True)]
         data = np.concatenate([np.frombuffer(pa.decompress(x, size, "zstd"), np.uint8) for x, size in zip(table.column("bytes").to_pylist(), room, strict=True)])
         begins = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(counts)), counts)
-        first = np.cumsum(counts) - counts
-        offset = np.arange(len(owner)) - first[owner]
+        # equal runs of several shards are refined once; a digest that two different runs share gathers nothing
+        order, fresh = shards.grouped(digest)
+        unique = np.cumsum(np.bincount(fresh, minlength=len(order))) - 1
+        kind = np.empty(len(order), np.int64)
+        kind[order] = unique
+        one = order[fresh]
+        same = (sizes == sizes[one[kind]]).all() and all(
+            (_ragged(data, begins[part], sizes[part]) == _ragged(data, begins[one[kind[part]]], sizes[part])).all() for part in np.array_split(np.arange(len(sizes)), 8)
+        )
+        if not same:
+            one = kind = np.arange(len(sizes))
+        lowest = np.full(len(one), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, kind, low)
+        data, each = _ragged(data, begins[one], sizes[one]), counts[one]
+        begins = np.cumsum(sizes[one]) - sizes[one]
+        owner = np.repeat(np.arange(len(one)), each)
+        offset = np.arange(len(owner)) - (np.cumsum(each) - each)[owner]
         pointer = refined(data, begins[owner] + offset)
         order, fresh = shards.grouped(pointer)
         smallest = np.empty(len(owner), np.int64)
-        smallest[order] = np.repeat(np.minimum.reduceat(low[owner][order], fresh), np.diff(np.append(fresh, len(order))))
-        hit = smallest < high[owner]
-        # neighbouring strings of a run with one smallest doc_id are one stretch
-        begin = hit.copy()
-        begin[1:] &= ~hit[:-1] | (owner[1:] != owner[:-1]) | (smallest[1:] != smallest[:-1])
+        smallest[order] = np.repeat(np.minimum.reduceat(lowest[owner][order], fresh), np.diff(np.append(fresh, len(order))))
+        # neighbouring strings of a run with one smallest doc_id are one stretch, for all equal runs
+        begin = np.append(True, (owner[1:] != owner[:-1]) | (smallest[1:] != smallest[:-1]))
         at = np.flatnonzero(begin)
-        stretch = np.cumsum(begin)[hit] - 1
-        length = np.bincount(stretch, minlength=len(at)) if len(at) else np.zeros(0, np.int64)
+        spans = np.diff(np.append(at, len(owner)))
+        first = np.searchsorted(owner[at], np.arange(len(one) + 1))
+        n_parts = (first[1:] - first[:-1])[kind]
+        run = np.repeat(np.arange(len(kind)), n_parts)
+        which = np.arange(len(run)) - np.repeat(np.cumsum(n_parts) - n_parts, n_parts) + first[kind[run]]
+        hit = smallest[at[which]] < high[run]
+        run, which = run[hit], which[hit]
         shard = np.repeat(np.array(table.column("_shard").to_pylist()), [len(x) for x in per_row])
-        order, fresh = shards.grouped(shard[owner[at]])
+        order, fresh = shards.grouped(shard[run])
         parts = [p for p in np.split(order, fresh[1:]) if len(p)]
         binary = lambda values: pa.array(values, pa.binary())
         return pa.table({
-            "_shard": pa.array([int(shard[owner[at[p[0]]]]) for p in parts], pa.int64()),
+            "_shard": pa.array([int(shard[run[p[0]]]) for p in parts], pa.int64()),
             **{c: binary([None] * len(parts)) for c in ("keys", "docs", "least")},
-            "digests": binary([_blob(digest[owner[at[p]]]) for p in parts]),
-            "offsets": binary([_blob(offset[at[p]], np.uint32) for p in parts]),
-            "counts": binary([_blob(length[p], np.uint32) for p in parts]),
-            "smallest": binary([_blob(smallest[at[p]]) for p in parts]),
+            "digests": binary([_blob(digest[run[p]]) for p in parts]),
+            "offsets": binary([_blob(offset[at[which[p]]], np.uint32) for p in parts]),
+            "counts": binary([_blob(spans[which[p]], np.uint32) for p in parts]),
+            "smallest": binary([_blob(smallest[at[which[p]]]) for p in parts]),
         })
 
     def mark(table: pa.Table, got: pa.Table) -> pa.Table:
