@@ -48,7 +48,7 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def keyed_runs(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of strings of one key within a text: first string, number of strings, key, row."""
+    """Runs of strings of one key within a text: first string, number of strings, key (48 bits), row."""
     none = np.zeros(0, np.int64)
     n = len(texts.data) - LENGTH + 1
     long = texts.ends - texts.starts >= LENGTH
@@ -72,7 +72,7 @@ def keyed_runs(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray
     closed[:-1] &= fresh[1:] | ~valid[1:]
     counts = np.flatnonzero(closed) + 1 - starts
     rows = np.flatnonzero(long)[np.searchsorted(texts.starts[long], starts, "right") - 1]
-    return starts, counts, key[starts], rows
+    return starts, counts, key[starts] >> np.uint64(16), rows
 
 
 def _keys_of(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +148,13 @@ _FOUND = "_shard long, keys binary, docs binary, least binary, digests binary, o
 
 
 def _blob(x: np.ndarray, kind=None) -> bytes:
-    return np.ascontiguousarray(x if kind is None else x.astype(kind)).tobytes()
+    """An array, compressed, after its size in bytes."""
+    raw = np.ascontiguousarray(x if kind is None else x.astype(kind)).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _read(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    return [np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd"), kind) for x in column.to_pylist()]
 
 
 def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None = None) -> DataFrame:
@@ -188,19 +194,18 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
                     columns["digests"].append(_blob(digest[own]))
                     columns["counts"].append(_blob(counts[own], np.uint32))
                     columns["low"].append(_blob(low[part]))
-                    columns["high"].append(_blob(high[part]))
-                    columns["bytes"].append(pa.compress(_ragged(data, begins[own], sizes[own]).tobytes(), "zstd", asbytes=True))
+                    columns["high"].append(_blob(high[part] - low[part]))
+                    columns["bytes"].append(_blob(_ragged(data, begins[own], sizes[own])))
         return pa.table({k: pa.array(v, pa.int64() if k in ("_shard", "bucket") else pa.binary()) for k, v in columns.items()})
 
     def refine(table: pa.Table) -> pa.Table:
-        read = lambda c, kind: [np.frombuffer(x, kind) for x in table.column(c).to_pylist()]
+        read = lambda c, kind: _read(table.column(c), kind)
         per_row = read("digests", np.uint64)
         digest, counts = np.concatenate(per_row), np.concatenate(read("counts", np.uint32)).astype(np.int64)
-        low, high = np.concatenate(read("low", np.int64)), np.concatenate(read("high", np.int64))
+        low = np.concatenate(read("low", np.int64))
+        high = low + np.concatenate(read("high", np.int64))
         sizes = counts + LENGTH - 1
-        ends = np.cumsum([len(x) for x in per_row])
-        room = [int(sizes[e - len(x) : e].sum()) for x, e in zip(per_row, ends, strict=True)]
-        data = np.concatenate([np.frombuffer(pa.decompress(x, size, "zstd"), np.uint8) for x, size in zip(table.column("bytes").to_pylist(), room, strict=True)])
+        data = np.concatenate(read("bytes", np.uint8))
         begins = np.cumsum(sizes) - sizes
         # equal runs of several shards are refined once; a digest that two different runs share gathers nothing
         order, fresh = shards.grouped(digest)
@@ -250,7 +255,7 @@ def removed(docs: DataFrame, many_docs: int = MANY_DOCS, shard_bytes: int | None
         ids, out = shards.doc_ids(table), []
         told = got.filter(got.column("digests").is_valid())
         names, counts_of, _ = shards.merged(got.filter(got.column("keys").is_valid()))
-        read = lambda c, kind: np.concatenate([np.zeros(0, kind), *[np.frombuffer(x, kind) for x in told.column(c).to_pylist()]])
+        read = lambda c, kind: np.concatenate([np.zeros(0, kind), *_read(told.column(c), kind)])
         digest = read("digests", np.uint64)
         order = np.argsort(digest, kind="stable")
         digest, offsets, lengths, smallest = digest[order], read("offsets", np.uint32)[order].astype(np.int64), read("counts", np.uint32)[order].astype(np.int64), read("smallest", np.int64)[order]

@@ -54,6 +54,18 @@ def _packed(x: np.ndarray, kind) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
 
+def _squeezed(keys: np.ndarray) -> bytes:
+    """Ordered keys as compressed steps: six bytes a key, or fewer, if they have 48 bits."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    raw = steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _keys(column: pa.ChunkedArray) -> list[np.ndarray]:
+    raw = (pa.decompress(x[8:], int.from_bytes(x[:8], "little"), "zstd") for x in column.to_pylist())
+    return [np.cumsum(np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view(np.uint64).ravel(), dtype=np.uint64) for x in raw]
+
+
 def _unpacked(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
@@ -90,13 +102,13 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
         return pa.table({
             "_shard": pa.array([shard] * len(parts), pa.int64()),
             "bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
-            "keys": pa.array([_packed(keys[p], np.uint64) for p in parts], pa.binary()),
+            "keys": pa.array([_squeezed(keys[p]) for p in parts], pa.binary()),
             "docs": pa.array([_packed(np.minimum(counts[p], 2**32 - 1), np.uint32) for p in parts], pa.binary()),
             "least": pa.array([_packed(least[p], np.int64) if with_least else None for p in parts], pa.binary()),
         })
 
     def add(table: pa.Table) -> pa.Table:
-        keys, docs = _unpacked(table.column("keys"), np.uint64), _unpacked(table.column("docs"), np.uint32)
+        keys, docs = _keys(table.column("keys")), _unpacked(table.column("docs"), np.uint32)
         every = np.concatenate(keys)
         order, starts = grouped(every)
         total = np.add.reduceat(np.concatenate(docs)[order].astype(np.int64), starts)
@@ -108,7 +120,7 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
             got = total[at] >= least_docs
             if got.any():
                 out["_shard"].append(shard)
-                out["keys"].append(_packed(mine[got], np.uint64))
+                out["keys"].append(_squeezed(mine[got]))
                 out["docs"].append(_packed(np.minimum(total[at][got], 2**32 - 1), np.uint32))
                 out["least"].append(_packed(smallest[at][got], np.int64) if with_least else None)
         return pa.table({k: pa.array(v, pa.int64() if k == "_shard" else pa.binary()) for k, v in out.items()})
@@ -121,7 +133,7 @@ def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What one shard got from all buckets: keys in order, docs, least."""
     if not len(table):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    keys, docs = (np.concatenate(_unpacked(table.column(c), k)) for c, k in (("keys", np.uint64), ("docs", np.uint32)))
+    keys, docs = np.concatenate(_keys(table.column("keys"))), np.concatenate(_unpacked(table.column("docs"), np.uint32))
     least = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("least").to_pylist() if x is not None] or [np.zeros(len(keys), np.int64)])
     order = np.argsort(keys)
     return keys[order], docs[order], least[order]
