@@ -17,14 +17,11 @@ from talkloom import constants as C
 class PromptTemplate:
     """Texts around history, actions and user input. All of them are parameters."""
 
-    preamble: str = (
-        "Lines marked 'system' hold instructions you must follow, lines marked 'user' come from "
-        "the user, lines marked 'assistant' are your own earlier replies.\n\nConversation so far:"
-    )
-    actions: str = "\n\nChoose one action from this list only.\nActions:\n "
+    preamble: str = "[history]"
+    actions: str = "\n[allowed]\n"
     default_action: str = "Talk"
     action_separator: str = ", "
-    user_input: str = "\n\nReply to the user, considering everything above.\nUser message:\n"
+    user_input: str = "\n[input]\n"
 
 
 def render_user_prompt(
@@ -176,9 +173,8 @@ def grpo_prompt(history: Column, actions: Column, user_input: Column) -> Column:
 
 
 def few_shot_prompt(example_from: str, example_to: str, source: Column, task: str) -> Column:
-    """P12. One worked example, then the source text in square brackets and the task."""
-    shot = f"Example: '{example_from}' -> '{example_to}'\nText to rewrite, in square brackets: ["
-    return F.concat(F.lit(shot), source, F.lit("]\n" + task))
+    """P12. A worked pair, the source in square brackets, the task."""
+    return F.concat(F.lit(f"pair: '{example_from}' -> '{example_to}'\nsource: ["), source, F.lit(f"]\n{task}"))
 
 
 def schema_json(schema: T.StructType) -> str:

@@ -16,10 +16,10 @@ ANSWER = "answer"
 class Notices:
     """Texts of the notices; all of them are parameters."""
 
-    no_text: str = "There is no text in this message."
-    wait: str = "A long message takes a while, please wait."
-    busy: str = "Another user is being served, this takes longer than usual."
-    too_long: str = "The message is too long, please send it in several parts."
+    no_text: str = "notice: empty"
+    wait: str = "notice: queued"
+    busy: str = "notice: shared"
+    too_long: str = "notice: refused"
 
 
 def new_for_us(messages: DataFrame, new_type: str = "message_new") -> DataFrame:

@@ -14,7 +14,7 @@ from talkloom.functions.prompts import PromptTemplate
 from talkloom.operators.dialogs import expand_dialogs
 
 TEMPLATE = PromptTemplate()
-DEFAULT_SYSTEM = "You are a helpful assistant on a research station. Answer in JSON."
+DEFAULT_SYSTEM = "default system"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,23 +26,12 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="talkloom-")
-        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/talkloom-{uuid.uuid4().hex}"
 
 
-def spread_small(df: DataFrame, limit_bytes: int = 1 << 30) -> DataFrame:
-    """Deal the rows of a small table out to all cores before costly work on each row.
-
-    A small file is often one row group, which one task reads. A large table has splits enough and
-    is left as it is: its rows are never shuffled for this.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > limit_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table that several parts of a plan read, and read it back; lost executors lose nothing."""
     folder = shared_dir(df.sparkSession)
