@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from talkloom.operators import scans, skew
 
 CHUNK_TURNS = 256
+# Turns without a number come first.
+_FIRST_CHUNK = -(2**62)
 
 
 def explode_examples(dialogs: DataFrame) -> DataFrame:
@@ -46,11 +48,12 @@ def expand_dialogs(
     """P2. One example per assistant turn that answers a user turn.
 
     The preceding user turn is the input, all turns before it (or the last `max_history`) are the
-    history, the first system turn before it is the system text. `turns` has conv_id, turn, role and
+    history, the first system turn before it that has a text is the system text. `turns` has conv_id, turn, role and
     text; turns are distinct within a conversation. `actions` and `action` may use these columns.
 
     While every turn number is below `chunk`, one window per conversation does it. Otherwise long
-    conversations are cut into chunks of turns so that none of them has to fit in one task.
+    conversations are cut into chunks of turns so that none of them has to fit in one task. The rows
+    are the same either way. Turns without a number come first.
     """
     turns = turns.select(
         "conv_id", "turn", "role", "text",
@@ -102,7 +105,8 @@ def _with_prefix(turns: DataFrame, chunk: int) -> DataFrame:
     A row carries its whole history, so a conversation is never longer than a row can hold; the
     chunk arrays of one conversation are therefore a bounded group.
     """
-    cut = turns.withColumn("_chunk", F.call_function("div", F.col("turn"), F.lit(chunk)))
+    number = F.call_function("div", F.col("turn"), F.lit(chunk))
+    cut = turns.withColumn("_chunk", F.coalesce(number, F.lit(_FIRST_CHUNK)))
     order = Window.partitionBy("conv_id", "_chunk").orderBy("turn")
     local = cut.select(
         "*",
@@ -111,9 +115,9 @@ def _with_prefix(turns: DataFrame, chunk: int) -> DataFrame:
         .alias("_inside"),
     ).filter(F.col("role") == "assistant")
 
-    long_ids = turns.filter(F.col("turn") >= chunk).select("conv_id").distinct()
+    long_ids = cut.filter(F.col("_chunk") != 0).select(F.col("conv_id").alias("_long")).distinct()
     pieces = (
-        cut.join(long_ids, "conv_id", "left_semi")
+        cut.join(long_ids, F.col("conv_id").eqNullSafe(F.col("_long")), "left_semi")
         .groupBy("conv_id", "_chunk")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_piece"))
     )
@@ -124,10 +128,10 @@ def _with_prefix(turns: DataFrame, chunk: int) -> DataFrame:
     )
     nothing = F.array().cast("array<struct<role:string,text:string>>")
     prefix = F.transform("_prefix", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    joined = local.join(prefixes, ["conv_id", "_chunk"], "left").withColumn(
+    joined = skew.left_join_null_safe(local, prefixes, ["conv_id", "_chunk"]).withColumn(
         "_before", F.concat(F.coalesce(prefix, nothing), "_inside")
     )
-    systems = F.filter("_before", lambda t: t["role"] == "system")
+    systems = F.filter("_before", lambda t: (t["role"] == "system") & t["text"].isNotNull())
     return joined.filter(_answers_user()).withColumn("system", F.get(systems, F.lit(0))["text"])
 
 
@@ -145,12 +149,12 @@ def _with_halo(turns: DataFrame, max_history: int, chunk: int) -> DataFrame:
     ).filter((F.col("_own") == F.col("_chunk")) & _answers_user())
 
     systems = (
-        turns.filter(F.col("role") == "system")
+        turns.filter((F.col("role") == "system") & F.col("text").isNotNull())
         .groupBy("conv_id")
         .agg(F.min(F.struct(F.col("turn").alias("_system_turn"), F.col("text").alias("_text"))).alias("_s"))
         .select("conv_id", "_s._system_turn", "_s._text")
     )
-    earlier_system = F.when(F.col("_system_turn") < F.col("turn"), F.col("_text"))
+    earlier_system = F.when(F.col("_system_turn").isNull() | (F.col("_system_turn") < F.col("turn")), F.col("_text"))
     joined = skew.join_unique(rows, systems, "conv_id", "left", chunk * 1024, counted=turns)
     return joined.withColumn("system", earlier_system)
 

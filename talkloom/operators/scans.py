@@ -56,14 +56,16 @@ def slice_hot_keys(
         return skew.left_join_null_safe(rows, F.broadcast(hot_table), keys)
 
     full = -(-sum(r["count"] for r in hot) // task_rows)
-    wanted = min(skew.MAX_HOT_KEYS, max(full, df.sparkSession.sparkContext.defaultParallelism))
+    wanted = max(full, df.sparkSession.sparkContext.defaultParallelism)
     shares = [i / wanted for i in range(1, wanted)]
     times = mark(source.select(*keys, at)).filter(F.col(_HOT))
     cuts = times.agg(F.percentile_approx(at, shares, max(10_000, 4 * wanted))).first()[0] or []
     borders = [float("-inf"), *sorted({float(c) for c in cuts}), float("inf")]
     cutter = Bucketizer(splits=borders, inputCol=_AT, outputCol=_SLICE, handleInvalid="keep")
     sliced = cutter.transform(mark(df).withColumn(_AT, F.col(at).cast("double")))
-    number = F.when(F.col(_HOT), F.col(_SLICE).cast("int")).otherwise(F.lit(_UNCUT))
+    # rows without a time come first, as in the window of an uncut key
+    of_hot = F.when(F.col(_AT).isNull(), F.lit(0)).otherwise(F.col(_SLICE).cast("int") + 1)
+    number = F.when(F.col(_HOT), of_hot).otherwise(F.lit(_UNCUT))
     return Slices(sliced.withColumn(_SLICE, number).drop(_HOT, _AT), keys, split=True)
 
 

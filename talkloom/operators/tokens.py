@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 from talkloom import constants as C
 from talkloom.functions import arrays
-from talkloom.operators import skew
 
 WORD = r"[^ \n\t\r]+"
 
-# A vocabulary up to this size travels with the tasks as one value; a larger one is joined.
-LOOKUP_ENTRIES = 262_144
 _ENTRIES_PER_BUCKET = 2
 
 
@@ -90,20 +87,14 @@ def encode(
     unknown: str = "<unk>",
     bos: str = "<s>",
     limit: int | None = None,
-    row_id: str | None = None,
 ) -> DataFrame:
     """T2. Add an array of ids for every text column; `columns` maps text column to output column.
 
-    The usual vocabulary is one value that every task holds, so no text and no token is shuffled.
-    A vocabulary above LOOKUP_ENTRIES is joined instead and needs `row_id`, a unique column.
+    The vocabulary is one value that every task holds, at most `max_size` entries, so no text and no
+    token is shuffled, whatever the size of the vocabulary.
     `add_special` puts BOS in front; leave it off for text that a chat template has marked already.
     With `limit` only that many tokens of a text are looked up, for rows that are cut there (T3).
     """
-    if vocab.max_size > LOOKUP_ENTRIES:
-        if row_id is None:
-            raise ValueError("a vocabulary of this size is joined by row: name a unique row_id column")
-        joined = _encode_joined(df, vocab, columns, row_id, unknown, limit)
-        return _with_bos(joined, columns, vocab.special_id(bos)) if add_special else joined
     buckets = max(1, -(-vocab.max_size // _ENTRIES_PER_BUCKET))
     unknown_id = vocab.special_id(unknown)
     with_vocab = df.withColumn("_vocab", _bucketed(vocab.table, buckets).scalar())
@@ -143,29 +134,6 @@ def _bucketed(table: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def _encode_joined(
-    df: DataFrame, vocab: Vocabulary, columns: Mapping[str, str], row_id: str, unknown: str, limit: int | None
-) -> DataFrame:
-    """Ids by a join on the token, for a vocabulary too large to hold in every task.
-
-    Frequent tokens are hot join keys and meet their entry by broadcast. A row's ids come back
-    together under its `row_id`.
-    """
-    unknown_id = F.lit(vocab.special_id(unknown))
-    entries = vocab.table.select("token", "token_id")
-    for text, out in columns.items():
-        tokens = df.select(row_id, F.posexplode_outer(_limited_tokens(text, vocab, limit)).alias("_p", "token"))
-        pair = F.struct("_p", F.coalesce("token_id", unknown_id).alias("id"))
-        ids = (
-            skew.join_unique(tokens, entries, "token", "left")
-            .groupBy(row_id)
-            .agg(F.array_sort(F.collect_list(F.when(F.col("_p").isNotNull(), pair))).alias("_pairs"))
-            .select(row_id, F.transform("_pairs", lambda x: x["id"]).alias(out))
-        )
-        df = df.join(ids, row_id, "left").withColumn(out, F.when(F.col(text).isNotNull(), F.col(out)))
-    return df
-
-
 def encode_with(
     df: DataFrame, make_tokenizer: Callable[[], Callable[[str], Sequence[int]]], text: str, out: str
 ) -> DataFrame:

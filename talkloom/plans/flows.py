@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkloom import constants as C
+from talkloom import session
 from talkloom.functions import arrays as A
 from talkloom.functions import prompts as P
 from talkloom.operators import scoring as S
@@ -64,7 +65,7 @@ def evaluate(
     before they are scored: no scorer, failure or repeated stage asks the model again. Returns the
     metrics per suite; `path` then holds responses, results and summary.
     """
-    spark = requests.sparkSession
+    spark = session.prepare(requests.sparkSession)
     generated = generate(requests, make_client, "prompt", batch_size)
     generated.write.mode("overwrite").parquet(f"{path}/responses")
     responses = spark.read.schema(generated.schema).parquet(f"{path}/responses")

@@ -41,7 +41,13 @@ def _actions():
 
 
 def _id():
-    return (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id")
+    return F.concat_ws("-", "conv_id", "turn").alias("example_id")
+
+
+def _escaped(text):
+    """A text as it stands between the quotes of a JSON string."""
+    whole = F.to_json(F.struct(text.alias("t")))
+    return F.substring(whole, F.lit(7), F.length(whole) - 8)
 
 
 def examples(spark: SparkSession, sf_dir: str, max_history: int | None = None) -> DataFrame:
@@ -53,6 +59,8 @@ def examples(spark: SparkSession, sf_dir: str, max_history: int | None = None) -
 def responses(spark: SparkSession, sf_dir: str, shifts: tuple[int, ...] = (0,)) -> DataFrame:
     """Responses per assistant turn, going through every way a response can be right or wrong.
 
+    The message of a response is the whole text of its turn.
+
     One response per shift; `g` numbers them.
     """
     turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
@@ -62,7 +70,7 @@ def responses(spark: SparkSession, sf_dir: str, shifts: tuple[int, ...] = (0,))
         F.col("g").cast("bigint").alias("g"),
         ((F.col("conv_id") * 31 + F.col("turn") + F.col("shift")) % 16).alias("k"),
         _action().alias("expected_action"),
-        F.concat(F.lit("m"), F.col("conv_id"), F.lit("-"), F.col("turn")).alias("m"),
+        _escaped(F.coalesce("text", F.lit(""))).alias("m"),
     )
     a, m, k = F.col("expected_action"), F.col("m"), F.col("k")
     text = F.concat(F.lit('{"MessageText":"'), m, F.lit('","Content":'))
@@ -105,7 +113,7 @@ turns AS (
       ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING), []) AS history
   FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
 examples AS (
-  SELECT conv_id * 1000 + turn AS example_id, conv_id, turn, history, user_input,
+  SELECT concat(conv_id, '-', turn) AS example_id, conv_id, turn, history, user_input,
     coalesce(own_system, {quote(DEFAULT_SYSTEM)}) AS system,
     CASE conv_id % 3 WHEN 0 THEN [] WHEN 1 THEN ['Open Door']
       ELSE ['Open Door', 'Captain''s Log'] END AS actions,
@@ -142,10 +150,10 @@ def responses_sql(name: str = "responses", shift: int = 0) -> str:
       WHEN k = 14 THEN concat(' ', chr(10), good, chr(10)) END AS response
   FROM (SELECT *, concat(head, '{{"Action":"', expected_action, '"}}}}') AS good
     FROM (SELECT *, concat('{{"MessageText":"', m, '","Content":') AS head
-      FROM (SELECT conv_id * 1000 + turn AS example_id, (conv_id * 31 + turn + {shift}) % 16 AS k,
+      FROM (SELECT concat(conv_id, '-', turn) AS example_id, (conv_id * 31 + turn + {shift}) % 16 AS k,
           CASE (conv_id + turn) % 3 WHEN 0 THEN 'Talk' WHEN 1 THEN 'Open Door'
             ELSE 'Lights Off' END AS expected_action,
-          concat('m', CAST(conv_id AS VARCHAR), '-', CAST(turn AS VARCHAR)) AS m
+          CAST(to_json(coalesce(text, '')) AS VARCHAR)[2:-2] AS m
         FROM conversations WHERE role = 'assistant') a) b) c)"""
 
 

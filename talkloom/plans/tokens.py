@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkloom import constants as C
 from talkloom.functions import arrays as A
 from talkloom.operators import batches as B
 from talkloom.operators import tokens as T
@@ -13,8 +14,9 @@ from talkloom.plans.flows import build_sft, chat_texts, training_rows
 from talkloom.plans.records import SFT_SQL
 
 VOCAB_SIZE = 2000
-CUTOFF = 64
-CONTEXT = 48
+CUTOFF = C.CUTOFF_LEN
+EOS_CUTOFF = C.OLDER_CUTOFF_LEN
+CONTEXT = C.CONTEXT_IDS
 CUTOFFS = (64, 512, 2048)
 BUCKET_ROWS = 64
 
@@ -100,7 +102,7 @@ def train_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From turns to padded ids in one plan: examples, records, chat texts, ids."""
     texts = chat_texts(build_sft(I.examples(spark, sf_dir))).select("example_id", "text")
     vocab = T.build_vocab(I.table(spark, sf_dir, "conversations"), "text", VOCAB_SIZE)
-    rows = training_rows(texts, vocab, 4 * CUTOFF)
+    rows = training_rows(texts, vocab, CUTOFF)
     return rows.select(
         "example_id",
         _joined(F.col("input_ids")).alias("input_ids"),
@@ -115,18 +117,16 @@ positions AS (SELECT example_id, unnest({_tokens_sql("txt")}) AS token,
   generate_subscripts({_tokens_sql("txt")}, 1) AS pos FROM chats),
 found AS (SELECT p.example_id, list(coalesce(v.token_id, 0) ORDER BY p.pos) AS ids
   FROM positions p LEFT JOIN vocab v ON p.token = v.token GROUP BY p.example_id),
-cut AS (SELECT example_id, ids[1:{4 * CUTOFF}] AS ids FROM found)
+cut AS (SELECT example_id, ids[1:{CUTOFF}] AS ids FROM found)
 SELECT example_id,
-  rtrim(concat(array_to_string(ids, ' '), ' ', repeat('3 ', {4 * CUTOFF} - len(ids)))) AS input_ids,
-  rtrim(concat(repeat('1 ', len(ids)), repeat('0 ', {4 * CUTOFF} - len(ids)))) AS attention_mask
+  rtrim(concat(array_to_string(ids, ' '), ' ', repeat('3 ', {CUTOFF} - len(ids)))) AS input_ids,
+  rtrim(concat(repeat('1 ', len(ids)), repeat('0 ', {CUTOFF} - len(ids)))) AS attention_mask
 FROM cut"""
 
 
 def encode_eos_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded, vocab = _encoded(spark, sf_dir)
-    limit = 4 * CUTOFF
-    cut = encoded.select("doc_id", A.truncate_right(F.col("ids"), limit).alias("cut"))
-    ids = A.append_eos(F.col("cut"), vocab.special_id("</s>"), limit)
+    cut, vocab = _encoded(spark, sf_dir, EOS_CUTOFF)
+    ids = A.append_eos(F.col("ids"), vocab.special_id("</s>"), EOS_CUTOFF)
     ended = cut.select("doc_id", ids.alias("ids"))
     return ended.select(
         "doc_id",
@@ -137,8 +137,8 @@ def encode_eos_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENCODE_EOS_LABELS = f"""WITH {_ENCODED_SQL},
-cut AS (SELECT doc_id, ids[1:{4 * CUTOFF}] AS ids FROM encoded),
-ended AS (SELECT doc_id, CASE WHEN len(ids) < {4 * CUTOFF} AND (len(ids) = 0 OR ids[-1] <> 2)
+cut AS (SELECT doc_id, ids[1:{EOS_CUTOFF}] AS ids FROM encoded),
+ended AS (SELECT doc_id, CASE WHEN len(ids) < {EOS_CUTOFF} AND (len(ids) = 0 OR ids[-1] <> 2)
   THEN list_concat(ids, [2]) ELSE ids END AS ids FROM cut)
 SELECT doc_id, array_to_string(ids, ' ') AS input_ids, CAST(len(ids) AS BIGINT) AS mask_ones,
   array_to_string(ids, ' ') AS labels

@@ -63,6 +63,20 @@ def test_long_conversation_is_not_one_group(spark):
     assert last.prompt.History == [f"{'assistant' if i % 2 else 'user'}: '{i}'" for i in range(594, 598)]
 
 
+@pytest.mark.parametrize("max_history", [None, 3])
+def test_other_conversations_change_nothing(spark, max_history):
+    one = [(1, None, "user", "n"), (1, -300, "system", None), (1, -1, "system", "S2"), (1, 0, "user", "u"), (1, 1, "assistant", "a")]
+    other = [(2, i, ("user", "assistant")[i % 2], str(i)) for i in range(600)]
+
+    def of_one(rows):
+        turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        return expand_dialogs(turns, max_history=max_history).filter("conv_id = 1").collect()
+
+    alone = of_one(one)
+    assert alone == of_one(one + other)
+    assert alone[0].system == "S2" and alone[0].prompt.History[-1] == "system: 'S2'"
+
+
 def test_empty_table(spark):
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert expand_dialogs(turns).count() == 0

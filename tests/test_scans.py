@@ -81,3 +81,12 @@ def test_sliced_plan_has_no_nested_loop(frame):
     df = busy_at_arrival(frame, "bot", "user", "at", "finish", "id", 50)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("task_rows", [1000, 10])
+def test_rows_without_a_time_come_first(spark, task_rows):
+    rows = [(1, None if i % 50 == 0 else i // 3, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "key long, at long, id long")
+    got = {r.id: r.pos for r in scans.ordinal(df, ["key"], "at", "id", "pos", task_rows).collect()}
+    wanted = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert got == {r[2]: i for i, r in enumerate(wanted)}

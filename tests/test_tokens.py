@@ -34,22 +34,19 @@ def test_vocab_and_encode(docs, size):
     assert got == brute_encode(size)
 
 
-def test_encode_by_join_gives_the_same(docs, monkeypatch):
-    vocab = T.build_vocab(docs, "text", 3)
-    monkeypatch.setattr(T, "LOOKUP_ENTRIES", 2)
-    with pytest.raises(ValueError):
-        T.encode(docs, vocab, {"text": "ids"})
-    got = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}, row_id="id").collect()}
-    assert got == brute_encode(3)
-    marked = T.encode(docs, vocab, {"text": "ids"}, row_id="id", add_special=True).filter("id = 1").first()
+def test_large_vocabulary_is_the_same(docs):
+    vocab = T.build_vocab(docs, "text", 300_000)
+    got = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}).collect()}
+    assert got == brute_encode(300_000)
+    marked = T.encode(docs, vocab, {"text": "ids"}, add_special=True).filter("id = 1").first()
     assert marked.ids == [vocab.special_id("<s>")]
+    pairs = docs.select(F.col("text").alias("s"), F.col("text").alias("u"))
+    assert T.encode_context(pairs, vocab, "s", "u").count() == docs.count()
 
 
-@pytest.mark.parametrize("entries", [2, 1000])
-def test_limit_is_truncation(docs, monkeypatch, entries):
-    monkeypatch.setattr(T, "LOOKUP_ENTRIES", entries)
+def test_limit_is_truncation(docs):
     vocab = T.build_vocab(docs, "text", 3)
-    got = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}, limit=2, row_id="id").collect()}
+    got = {r.id: r.ids for r in T.encode(docs, vocab, {"text": "ids"}, limit=2).collect()}
     assert got == {i: ids and ids[:2] for i, ids in brute_encode(3).items()}
 
 
