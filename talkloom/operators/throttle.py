@@ -24,7 +24,7 @@ def throttle_schedule(
     for one task is scanned per slice: rows of later slices have their position moved by the rows
     before the slice, which moves arrival - position*gap down by the same number of gaps.
     """
-    slices = scans.slice_hot_keys(df, [key], at, task_rows)
+    slices = scans.slice_hot_keys(df, [key], at, tie, task_rows)
     ordered = Window.partitionBy(*slices.group).orderBy(at, tie)
     local = slices.rows.withColumn("_n", (F.row_number().over(ordered) - 1).cast("bigint"))
     local = local.withColumn("_slack", F.col(at) - F.col("_n") * F.lit(gap_us))

@@ -69,12 +69,12 @@ def test_ordinal(frame, task_rows):
 
 
 def test_only_large_keys_are_cut(frame):
-    slices = scans.slice_hot_keys(frame, ["user"], "at", task_rows=100)
+    slices = scans.slice_hot_keys(frame, ["user"], "at", "id", task_rows=100)
     cut = {r.user: r.n for r in slices.rows.groupBy("user").agg(F.countDistinct("_slice").alias("n")).collect()}
     assert slices.split and cut.pop(1) >= 2 and set(cut.values()) == {1}
     sizes = slices.rows.filter("user = 1").groupBy("_slice").count().agg(F.max("count")).first()[0]
     assert sizes <= 130
-    assert not scans.slice_hot_keys(frame, ["user"], "at", task_rows=1000).split
+    assert not scans.slice_hot_keys(frame, ["user"], "at", "id", task_rows=1000).split
 
 
 def test_sliced_plan_has_no_nested_loop(frame):
@@ -90,3 +90,23 @@ def test_rows_without_a_time_come_first(spark, task_rows):
     got = {r.id: r.pos for r in scans.ordinal(df, ["key"], "at", "id", "pos", task_rows).collect()}
     wanted = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
     assert got == {r[2]: i for i, r in enumerate(wanted)}
+
+
+@pytest.mark.parametrize("at", ["5", "null", "if(id % 4 = 0, null, 9)"])
+def test_one_instant_is_cut_by_its_ties(spark, at):
+    df = spark.range(1000).selectExpr("1 as key", f"cast({at} as long) as at", "id", "id % 7 as run").repartition(4)
+    slices = scans.slice_hot_keys(df, ["key"], "at", "id", task_rows=50)
+    assert slices.rows.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 110
+    rows = sorted(df.collect(), key=lambda r: (r["at"] is not None, r["at"] or 0, r.id))
+    got = {r.id: r.pos for r in scans.ordinal(df, ["key"], "at", "id", "pos", 50).collect()}
+    assert got == {r.id: i for i, r in enumerate(rows)}
+    for task_rows in (7, 10**6):
+        sent = throttle_schedule(df.filter("at is not null"), "key", "at", "id", GAP, task_rows).collect()
+        of_time = [r for r in rows if r["at"] is not None]
+        assert {r.id: r.send_us for r in sent} == {r.id: r["at"] + i * GAP for i, r in enumerate(of_time)}
+
+
+def test_order_column_may_be_a_time_and_ties_may_be_text(spark):
+    df = spark.range(300).selectExpr("1 as key", "timestamp_seconds(id div 3) as at", "lpad(id, 4, '0') as id")
+    got = {int(r.id): r.pos for r in scans.ordinal(df, ["key"], "at", "id", "pos", 20).collect()}
+    assert got == {i: i for i in range(300)}

@@ -16,11 +16,19 @@ def completions(spark):
 def test_hot_keys_give_the_plain_join(spark, completions, how):
     right = spark.range(35).select(F.col("id").alias("prompt_id"), (F.col("id") * 2).alias("v"))
     plain = completions.join(right, "prompt_id", how)
-    made = skew.join_unique(completions, right, "prompt_id", how, task_rows=50)
-    assert made.columns == plain.columns
     order = lambda df: sorted(map(str, df.collect()))
-    assert order(made) == order(plain)
-    assert [r.prompt_id for r in skew.hot_keys(completions, ["prompt_id"], 50)] == [0]
+    for bounds in ({}, {"few": 0}, {"few_bytes": 0}, {"few": 0, "few_bytes": 0}):
+        made = skew.join_unique(completions, right, "prompt_id", how, task_rows=50, **bounds)
+        assert made.columns == plain.columns
+        assert order(made) == order(plain)
+
+
+def test_all_hot_keys_are_found(completions):
+    for few in (0, 1, 100):
+        hot = skew.hot_keys(completions, ["prompt_id"], 4, few).collect()
+        wanted = completions.groupBy("prompt_id").count().filter("count > 4").collect()
+        assert {tuple(r) for r in hot} == {tuple(r) for r in wanted} and len(hot) > 1
+    assert skew.hot_keys(completions, ["prompt_id"], 300) is None
 
 
 def test_rewards_and_advantages_of_a_hot_prompt(spark, completions):
