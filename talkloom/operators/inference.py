@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -23,12 +24,34 @@ def build_requests(user: Column, system: Column | None = None, schema_text: str
     return prompts.to_messages(user=user) if system is None else prompts.to_messages(system=system, user=user)
 
 
-def generate(df: DataFrame, make_client: Callable[[], Client], prompt: str = "prompt", batch_size: int = 32) -> DataFrame:
+def paced(client: Client, gap_seconds: float) -> Client:
+    """M2. The client, called at most once in `gap_seconds`; the first call does not wait."""
+    last = float("-inf")
+
+    def call(texts: list[str]) -> Sequence[str | None]:
+        nonlocal last
+        time.sleep(max(0.0, last + gap_seconds - time.monotonic()))
+        last = time.monotonic()
+        return client(texts)
+
+    return call
+
+
+def generate(
+    df: DataFrame,
+    make_client: Callable[[], Client],
+    prompt: str = "prompt",
+    batch_size: int = 32,
+    tasks: int | None = None,
+    gap_seconds: float = 0.0,
+) -> DataFrame:
     """M1. Add `response` (stripped) and `error`; a failing prompt does not fail the others.
 
     `make_client` runs once per task. Only the prompt column goes to Python. A batch that fails is
-    repeated one prompt at a time.
+    repeated one prompt at a time. `tasks` deals the prompts out to that many clients; each of them
+    waits until `gap_seconds` have passed since its last call.
     """
+    df = df if tasks is None else df.repartition(tasks)
 
     def one_by_one(client: Client, texts: list[str]) -> Iterator[tuple[str | None, str | None]]:
         for text in texts:
@@ -44,7 +67,7 @@ def generate(df: DataFrame, make_client: Callable[[], Client], prompt: str = "pr
         return [(None, NO_CHOICE) if r is None else (r.strip(), None) for r in replies]
 
     def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        client = make_client()
+        client = paced(make_client(), gap_seconds)
         for texts in series:
             rows: list[tuple[str | None, str | None]] = []
             for begin in range(0, len(texts), batch_size):

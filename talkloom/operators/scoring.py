@@ -40,10 +40,13 @@ def read_actions(df: DataFrame, value: str) -> DataFrame:
     return found.withColumn(f"{value}_other", other).drop(action)
 
 
-def parse_responses(df: DataFrame, response: str = "response", expected_answer: str | None = None) -> DataFrame:
+def parse_responses(
+    df: DataFrame, response: str = "response", expected_answer: str | None = None, printed_target: bool = False
+) -> DataFrame:
     """Parse once for all scorers: `value`, `block` and `block_value`, `expected_value`, and their actions.
 
-    Columns nobody reads are pruned from the plan.
+    `printed_target` reads expected answers in printed-dict form, their quotes swapped. Columns nobody
+    reads are pruned from the plan.
     """
     text = F.col(response)
     parsed = df.withColumns({"value": J.strict_variant(text), "block": J.json_block(text)})
@@ -53,7 +56,9 @@ def parse_responses(df: DataFrame, response: str = "response", expected_answer:
     parsed = parsed.withColumn("block_value", block_value)
     values = ["value", "block_value"]
     if expected_answer is not None:
-        parsed = parsed.withColumn("expected_value", J.strict_variant(F.col(expected_answer)))
+        target = F.col(expected_answer)
+        target = swap_quotes(target) if printed_target else target
+        parsed = parsed.withColumn("expected_value", J.strict_variant(target))
         values.append("expected_value")
     for value in values:
         parsed = read_actions(parsed, value)
@@ -69,11 +74,18 @@ def _match(same: Column) -> Column:
     return F.when(same, F.lit(C.MATCH)).otherwise(F.lit(C.MISMATCH))
 
 
+def _same_other(a: Column, b: Column) -> Column:
+    """Equal JSON texts, or equal numbers not both written as whole ones, whose texts tell more than a double does."""
+    whole = r"^-?\d+$"
+    numbers = a.try_cast("double") == b.try_cast("double")
+    return a.eqNullSafe(b) | F.coalesce(numbers & ~(a.rlike(whole) & b.rlike(whole)), F.lit(False))
+
+
 def score_action(response: str = "response") -> Column:
-    """E3. Both sides parsed; the two actions have to be the same JSON value, type included."""
+    """E3. Both sides parsed; the two actions have to be the same JSON value, type included. Numbers compare by value."""
     value, expected = F.col("value_fault"), F.col("expected_value_fault")
-    same = F.col("value_text").eqNullSafe(F.col("expected_value_text")) & F.col("value_other").eqNullSafe(
-        F.col("expected_value_other")
+    same = F.col("value_text").eqNullSafe(F.col("expected_value_text")) & _same_other(
+        F.col("value_other"), F.col("expected_value_other")
     )
     return (
         F.when(F.col(response).isNull(), F.lit(C.MISSING_RESPONSE))

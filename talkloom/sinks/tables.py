@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkloom import session
 from talkloom.operators.scoring import pass_rate
 
 
@@ -16,17 +17,29 @@ def write_jsonl(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).json(path)
 
 
-def prompt_array(df: DataFrame, order: Sequence[str], columns: Sequence[str], max_rows: int = 10_000) -> DataFrame:
-    """K2. A small prompt list as one row holding one JSON array, in the given order.
+def write_prompt_array(df: DataFrame, path: str, order: Sequence[str], columns: Sequence[str]) -> None:
+    """K2. A prompt list of any length as one JSON array, one element a line, in the given order.
 
-    One array has to fit in one row, so more than `max_rows` rows are an error: use write_jsonl.
+    The parts in `path`, put together in the order of their names, are one JSON document; no row or
+    task holds more than its own part. sources.dialogues.read_prompt_parts reads them in parallel.
+    Rows that are equal in `order` come in any order. An empty table gives an empty array.
     """
-    rows = df.select(F.struct(*order).alias("_at"), F.struct(*columns).alias("_row"))
-    limited = rows.limit(max_rows + 1).agg(F.collect_list(F.struct("_at", "_row")).alias("_all"))
-    too_many = F.raise_error(F.lit(f"more than {max_rows} prompts do not go into one array"))
-    ordered = F.transform(F.array_sort("_all"), lambda x: x["_row"])
-    text = F.to_json(ordered, {"ignoreNullFields": "false", "pretty": "true"})
-    return limited.select(F.when(F.size("_all") <= max_rows, text).otherwise(too_many).alias("json"))
+    rows = df.select(
+        F.struct(*order).alias("_at"),
+        F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("_line"),
+        F.monotonically_increasing_id().alias("_tie"),
+    )
+    numbered = session.materialize(rows)
+    place = F.struct("_at", "_tie")
+    first = numbered.agg(F.min(place).alias("_first")).select("_first")
+    comma = F.when(place == first.scalar(), F.lit("")).otherwise(F.lit(","))
+    elements = numbered.select(F.lit(1).alias("_kind"), "_at", "_tie", F.concat(comma, "_line").alias("value"))
+    nothing = F.lit(None)
+    brackets = df.sparkSession.createDataFrame([(0, "["), (2, "]")], "_kind int, value string").select(
+        "_kind", nothing.cast(rows.schema["_at"].dataType).alias("_at"), nothing.cast("bigint").alias("_tie"), "value"
+    )
+    lines = elements.unionByName(brackets).orderBy("_kind", "_at", "_tie")
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def write_report(results: DataFrame, path: str, by: Sequence[str] = ("suite",)) -> None:

@@ -57,6 +57,13 @@ def read_prompts(spark: SparkSession, path: str, schema: T.StructType = schemas.
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def read_prompt_parts(spark: SparkSession, path: str, schema: T.StructType = schemas.SFT) -> DataFrame:
+    """S3 for arrays of any length, as write_prompt_array writes them: one element a line, read in parallel."""
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"^,", "").alias("value"))
+    elements = lines.filter(~F.col("value").isin("[", "]"))
+    return elements.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_row")).select("_row.*")
+
+
 def read_pairs(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     """S4. Delimited parallel text with a header line."""
     return spark.read.schema(schemas.PAIR).csv(path, sep=sep, header=True, quote='"', mode="FAILFAST")

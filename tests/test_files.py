@@ -64,16 +64,22 @@ def test_records_round_trip_as_splits(spark, tmp_path):
     assert back.filter("split = 'test'").count() == 1
 
 
-def test_prompt_array(spark, tmp_path):
-    df = spark.createDataFrame([(2, "b", "é"), (1, "a", None)], "n int, user string, bot string")
-    text = tables.prompt_array(df, ["n"], ["user", "bot"]).first()[0]
-    wanted = [{"user": "a", "bot": None}, {"user": "b", "bot": "é"}]
-    assert json.loads(text) == wanted
-    (tmp_path / "p.json").write_text(text, encoding="utf-8")
-    back = D.read_prompts(spark, str(tmp_path / "p.json"))
-    assert [(r.user, r.bot) for r in back.collect()] == [("a", None), ("b", "é")]
-    with pytest.raises(Exception, match="more than 1 prompts"):
-        tables.prompt_array(df, ["n"], ["user"], max_rows=1).collect()
+@pytest.mark.parametrize("n", [0, 1, 2, 300])
+def test_prompt_array(spark, tmp_path, n):
+    """Rows with equal order and equal content, line breaks, quotes and nulls; the parts are one document."""
+    rows = [(i // 3, f'a"[{i // 2},\n]', None if i % 2 else "é") for i in range(n)]
+    df = spark.createDataFrame(rows, "n int, user string, bot string").repartition(5)
+    path = str(tmp_path / "p")
+    tables.write_prompt_array(df, path, ["n"], ["n", "user", "bot"])
+    whole = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "p").glob("part-*")))
+    made = json.loads(whole)
+    assert [r["n"] for r in made] == [r[0] for r in rows]
+    key = lambda r: (r[0], r[1], r[2] or "")
+    assert sorted([(r["n"], r["user"], r["bot"]) for r in made], key=key) == sorted(rows, key=key)
+    back = D.read_prompt_parts(spark, path, schema=df.schema)
+    assert sorted(map(tuple, back.collect()), key=key) == sorted(rows, key=key)
+    (tmp_path / "one.json").write_text(whole, encoding="utf-8")
+    assert D.read_prompts(spark, str(tmp_path / "one.json"), df.schema).count() == n
 
 
 def test_parallel_text(spark, tmp_path):

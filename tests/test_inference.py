@@ -33,3 +33,16 @@ def test_client_is_made_once_per_task_and_called_in_batches(spark):
     df = spark.range(70).selectExpr("cast(id as string) as prompt").coalesce(1)
     replies = [r.response for r in generate(df, make, batch_size=32).collect()]
     assert replies == ["1:32"] * 32 + ["2:32"] * 32 + ["3:6"] * 6
+
+
+def test_calls_keep_their_gap_and_are_dealt_out(spark):
+    def make():
+        import time
+
+        return lambda texts: [f"{time.monotonic()}"] * len(texts)
+
+    df = spark.range(4).selectExpr("cast(id as string) as prompt").coalesce(1)
+    at = sorted(float(r.response) for r in generate(df, make, batch_size=1, gap_seconds=0.2).collect())
+    assert all(b - a >= 0.19 for a, b in zip(at, at[1:], strict=False))
+    spread = generate(df, make, tasks=3)
+    assert spread.rdd.getNumPartitions() == 3 and spread.count() == 4

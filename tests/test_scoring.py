@@ -77,7 +77,7 @@ def test_action_scorer(spark):
         assert r.action.passed is (r.rule == "match")
 
 
-@pytest.mark.parametrize("other, passed", [("1.0", True), ("1e0", False), ("true", False), ('"1"', False), ("[1]", False)])
+@pytest.mark.parametrize("other, passed", [("1.0", True), ("1e0", True), ("10e-1", True), ("2", False), ("true", False), ('"1"', False), ("[1]", False)])
 def test_number_as_action(spark, other, passed):
     texts = ['{"Content":{"Action":%s}}' % v for v in ("1", other)]
     df = spark.createDataFrame([tuple(texts)], "response string, expected_answer string")
@@ -173,3 +173,10 @@ def test_filter_on_a_score_does_not_parse_again(spark):
     plan = S.failures(results)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]
     assert filters and not any("parseJson" in line for line in filters)
+
+
+@pytest.mark.parametrize("target, passed", [("{'Content': {'Action': 'A'}}", True), ("{'Content': {'Action': 'B'}}", False)])
+def test_action_of_a_printed_target(spark, target, passed):
+    df = spark.createDataFrame([('{"Content":{"Action":"A"}}', target)], "response string, expected_answer string")
+    parsed = S.parse_responses(df, "response", "expected_answer", printed_target=True)
+    assert parsed.select(S.score_action().alias("r")).first().r == ("match" if passed else "mismatch")
