@@ -14,16 +14,19 @@ GAP_US = 600_000_000
 NOTICES = admission.Notices()
 
 
-def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as messages: all but the system's are new ones addressed to us."""
     to_us = F.col("role") != "system"
-    messages = I.table(spark, sf_dir, "conversations").select(
+    return I.table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "text",
         F.when(to_us, F.lit("message_new")).otherwise(F.lit("service")).alias("type"),
         to_us.alias("to_me"),
     )
+
+
+def _admitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a conversation's first message finds another one being answered
-    return admission.admit(admission.new_for_us(messages), busy=F.col("turn") == 0)
+    return admission.admit(admission.new_for_us(messages(spark, sf_dir)), busy=F.col("turn") == 0)
 
 
 def messages_admit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +53,8 @@ def messages_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.select("conv_id", "turn", F.col("reply_no").cast("bigint").alias("reply_no"), "kind", "reply")
 
 
-MESSAGES_REPLIES = f"""WITH {_ADMITTED_SQL},
+def replies_sql(answer: str = "NULL") -> str:
+    return f"""WITH {_ADMITTED_SQL},
 options AS (
   SELECT conv_id, turn, 0 AS o, 'no_text' AS kind, {I.quote(NOTICES.no_text)} AS reply FROM admitted
     WHERE admission = 'empty'
@@ -58,11 +62,14 @@ options AS (
     WHERE admission IN ('long', 'too_long')
   UNION ALL SELECT conv_id, turn, 2, 'busy', {I.quote(NOTICES.busy)} FROM admitted WHERE busy AND admission <> 'empty'
   UNION ALL SELECT conv_id, turn, 3, 'too_long', {I.quote(NOTICES.too_long)} FROM admitted WHERE admission = 'too_long'
-  UNION ALL SELECT conv_id, turn, 4, 'answer', NULL FROM admitted WHERE admission IN ('normal', 'long'))
+  UNION ALL SELECT conv_id, turn, 4, 'answer', {answer} FROM admitted WHERE admission IN ('normal', 'long'))
 SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, turn ORDER BY o) - 1 AS reply_no, kind, reply
 FROM options"""
 
 
+MESSAGES_REPLIES = replies_sql()
+
+
 def throttle_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = I.table(spark, sf_dir, "events").select("event_id", "user_id", I.micros("ts").alias("arrive_us"))
     return schedule(events, "user_id", "arrive_us", "event_id", GAP_US)
@@ -80,9 +87,9 @@ sent AS (
 SELECT event_id, user_id, arrive_us, send_us, send_us - arrive_us AS delay_us FROM sent"""
 
 
-def busy_at_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+def busy_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as requests at one endpoint that run for `value` seconds."""
-    requests = (
+    return (
         I.table(spark, sf_dir, "events")
         .select(
             "event_id", "user_id", F.lit("bot").alias("endpoint"), I.micros("ts").alias("start_us"),
@@ -90,7 +97,10 @@ def busy_at_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("finish_us", F.col("start_us") + F.col("run_us"))
     )
-    flagged = flag_busy(requests, "endpoint", "user_id", "start_us", "finish_us", "event_id")
+
+
+def busy_at_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = flag_busy(busy_requests(spark, sf_dir), "endpoint", "user_id", "start_us", "finish_us", "event_id")
     return flagged.select("event_id", "user_id", "start_us", "finish_us", "busy")
 
 

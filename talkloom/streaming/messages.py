@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,19 +13,33 @@ from talkloom.operators.busy import busy_at_arrival
 from talkloom.operators.inference import Client, generate
 
 
-def write_replies(admitted: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """K4. Append one row per reply to a parquet table, everything available, then stop."""
+#: Everything available, then stop. A bot that runs on takes {"processingTime": "1 second"}.
+ONCE = {"availableNow": True}
+
+
+def write_replies(
+    admitted: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, bool | str] = ONCE
+) -> StreamingQuery:
+    """K4. Append one row per reply to a parquet table."""
     return (
         replies(admitted)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
     )
 
 
 def busy_stream(
-    requests: DataFrame, path: str, checkpoint: str, endpoint: str, user: str, start: str, finish: str, tie: str
+    requests: DataFrame,
+    path: str,
+    checkpoint: str,
+    endpoint: str,
+    user: str,
+    start: str,
+    finish: str,
+    tie: str,
+    trigger: Mapping[str, bool | str] = ONCE,
 ) -> StreamingQuery:
     """R3. busy_at_arrival on a stream whose micro-batches come in arrival order.
 
@@ -61,7 +75,7 @@ def busy_stream(
 
     return (
         requests.writeStream.option("checkpointLocation", f"{checkpoint}/query")
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .foreachBatch(on_batch)
         .start()
     )
@@ -74,21 +88,28 @@ def _state_before(spark: SparkSession, checkpoint: str, number: int, like: DataF
 
 
 def answer_stream(
-    admitted: DataFrame, make_client: Callable[[], Client], path: str, checkpoint: str, batch_size: int = 32
+    admitted: DataFrame,
+    make_client: Callable[[], Client],
+    path: str,
+    checkpoint: str,
+    batch_size: int = 32,
+    trigger: Mapping[str, bool | str] = ONCE,
 ) -> StreamingQuery:
     """R4. Replies with the texts of the answers generated; each micro-batch has its own folder."""
 
     def on_batch(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
         sent = replies(batch)
         to_answer = sent.filter(F.col("kind") == ANSWER)
         answered = generate(to_answer, make_client, "text", batch_size)
         texts = answered.withColumn("reply", F.col("response")).drop("response")
         notices = sent.filter(F.col("kind") != ANSWER).withColumn("error", F.lit(None).cast("string"))
         notices.unionByName(texts).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        batch.unpersist()
 
     return (
         admitted.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .foreachBatch(on_batch)
         .start()
     )
