@@ -21,8 +21,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom.llm import buffers
 from talkloom.llm.tables import shipped, written
@@ -46,13 +47,15 @@ def covering() -> list[tuple[int, int, int]]:
     return out
 
 
-def fingerprints_of(texts: buffers.Texts, n_words: int = WORDS) -> np.ndarray:
-    """Fingerprints of the texts of a chunk. A text with fewer words than a shingle is one shingle."""
-    out = np.zeros(len(texts), np.uint64)
+def shingles(texts: buffers.Texts, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-case words of a chunk joined by single spaces, and where each shingle starts and ends in it, and its row.
+
+    A text with fewer words than a shingle is one shingle.
+    """
     lower = buffers.Texts(buffers.LOWER[texts.data], texts.starts, texts.ends)
     words = buffers.words(lower)
     if not len(words.starts):
-        return out
+        return np.zeros(0, np.uint8), *(np.zeros(0, np.int64) for _ in range(3))
     size = words.ends - words.starts
     stop = np.cumsum(size + 1) - 1  # in the words joined by single spaces
     joined = np.full(stop[-1] + 1, 32, np.uint8)
@@ -65,11 +68,18 @@ def fingerprints_of(texts: buffers.Texts, n_words: int = WORDS) -> np.ndarray:
     ends = np.minimum(begin + n_words - 1, np.repeat(last, last - first + 1))
     whole = (ends - begin == n_words - 1) | (begin == np.repeat(first, last - first + 1))
     begin, ends = begin[whole], ends[whole]
-    starts = stop[begin] - size[begin]
+    return joined, stop[begin] - size[begin], stop[ends], words.rows[begin]
+
+
+def fingerprints_of(texts: buffers.Texts, n_words: int = WORDS) -> np.ndarray:
+    """Fingerprints of the texts of a chunk."""
+    out = np.zeros(len(texts), np.uint64)
+    joined, starts, ends, owner = shingles(texts, n_words)
+    if not len(starts):
+        return out
     raw, digest = joined.tobytes(), xxhash.xxh64_intdigest
-    hashes = np.array([digest(raw[a:b], SEED) for a, b in zip(starts.tolist(), stop[ends].tolist(), strict=True)], np.uint64)
+    hashes = np.array([digest(raw[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-    owner = words.rows[begin]
     at = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
     ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
     total = np.diff(np.append(at, len(owner)))
@@ -224,9 +234,24 @@ def link(docs: DataFrame, n_words: int = WORDS, bits: int = BITS) -> DataFrame:
     return own.join(named, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
+def one_each(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Of the rows of each `_root` the one of the smallest doc_id (null last, then by text), with the given columns. Rows combine before the shuffle."""
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.xxhash64("text"))
+    chosen = rows.groupBy("_root").agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    return chosen.select("_row.*")
+
+
 def representatives(docs: DataFrame, n_words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """One row of docs for each component, that of its component_id, with all columns."""
-    kept = link(docs, n_words, bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return rows.withColumn("_n", F.row_number().over(one)).filter("_n = 1").drop("_n")
+    """One row of docs for each component, that of its smallest doc_id, with all columns. Rows without a doc_id stand for their own component."""
+    kind = T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            parts = [fingerprints_of(c, n_words) for c in buffers.chunks(buffers.from_arrow(batch.column("text")))]
+            fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], [*batch.schema.names, "_fp"])
+
+    rows = written(shipped(docs).mapInArrow(run, kind))
+    roots = components(links(rows.select(F.col("_fp").alias("fp")).distinct(), bits))
+    rows = rows.join(roots, F.col("_fp") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_fp"))
+    return one_each(rows, docs.columns)

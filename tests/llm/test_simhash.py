@@ -100,3 +100,13 @@ def test_edges(spark):
     kept = simhash.representatives(frame)
     assert kept.columns == frame.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [2, 3, None]
+
+
+def test_every_component_keeps_one_row(spark):
+    text = lambda seed: " ".join(random.Random(seed).choices([f"w{i}" for i in range(999)], k=30))
+    rows = [(None, text(i), i, "no id") for i in range(40)]
+    rows += [(None, text(0), 0, "copy"), (7, text(100), 1, "one"), (7, text(101), 2, "another"), (3, text(101), 3, "smaller"), (7, text(102), 4, "third"), (None, text(102), 5, "no id")]
+    kept = simhash.representatives(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r["text"] for r in kept) == sorted({r[1] for r in rows})
+    assert {r["doc_id"] for r in kept if r["text"] == text(101)} == {3}
+    assert [r["doc_id"] for r in kept if r["text"] in (text(100), text(102))] == [7, 7]
