@@ -1,10 +1,10 @@
-"""A corpus pipeline: toxicity, line dedup, near-dedup, mixture, pieces. Each stage is written and read again before the next."""
+"""A corpus pipeline: toxicity, line dedup, SimHash near-dedup, mixture, pieces. Each stage is written and read again before the next."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from talkloom.llm import lines, mixing, near, sentencepiece, toxicity
+from talkloom.llm import lines, mixing, sentencepiece, simhash, toxicity
 from talkloom.llm.tables import written
 
 
@@ -19,8 +19,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more), that of the smallest doc_id."""
-    return near.representatives(docs)
+    """One document of each group that SimHash links (four-word shingles, fingerprints at most 4 bits apart), that of the smallest doc_id."""
+    return simhash.representatives(docs, simhash.WORDS, simhash.BITS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
