@@ -13,9 +13,9 @@ def test_training_rows_have_one_length(spark):
     )
     texts = flows.chat_texts(flows.build_sft(examples))
     assert all(r.text.startswith("<s>system\nbe kind</s><s>user\n") for r in texts.collect())
-    rows = flows.training_rows(texts, build_vocab(texts, "text", 50), 90).orderBy("conv_id").collect()
-    assert [len(r.input_ids) for r in rows] == [90, 90] == [len(r.attention_mask) for r in rows]
-    assert sum(rows[0].attention_mask) == 90 and 0 < sum(rows[1].attention_mask) < 90
+    rows = flows.training_rows(texts, build_vocab(texts, "text", 50), 60).orderBy("conv_id").collect()
+    assert [len(r.input_ids) for r in rows] == [60, 60] == [len(r.attention_mask) for r in rows]
+    assert sum(rows[0].attention_mask) == 60 and 0 < sum(rows[1].attention_mask) < 60
     assert set(rows[1].input_ids[sum(rows[1].attention_mask) :]) == {3}
 
 
