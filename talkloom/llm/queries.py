@@ -12,7 +12,8 @@ from talkloom.llm import (
     q_simhash,
     q_spelling,
     q_toxicity,
+    q_urls,
     q_vectors,
 )
 
-QUERIES = {**q_vectors.QUERIES, **q_passages.QUERIES, **q_sentencepiece.QUERIES, **q_simhash.QUERIES, **q_lines.QUERIES, **q_pii.QUERIES, **q_chat.QUERIES, **q_toxicity.QUERIES, **q_mixing.QUERIES, **q_spelling.QUERIES}
+QUERIES = {**q_vectors.QUERIES, **q_passages.QUERIES, **q_sentencepiece.QUERIES, **q_simhash.QUERIES, **q_lines.QUERIES, **q_pii.QUERIES, **q_chat.QUERIES, **q_toxicity.QUERIES, **q_mixing.QUERIES, **q_spelling.QUERIES, **q_urls.QUERIES}
