@@ -133,8 +133,9 @@ def close_pairs(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarr
 
 def near(words: DataFrame, classes: int) -> DataFrame:
     """word, other, n_other for every two words one edit apart, both ways. words: distinct, written."""
-    counts = class_counts(F.col("word"), classes)
-    sized = words.select("word", "n", F.length("word").alias("size"), _key(counts).alias("own"), _homes(counts).alias("homes"))
+    sized = written(words.select("word", "n", F.length("word").alias("size"), F.array(*class_counts(F.col("word"), classes)).alias("c")))
+    counts = [F.col("c")[k] for k in range(classes)]
+    sized = sized.select("word", "n", "size", _key(counts).alias("own"), _homes(counts).alias("homes"))
     blocks = sized.groupBy("own").agg(F.count(F.lit(1)).alias("n_words"), F.sum("size").alias("n_chars"))
     pulled = sized.select("size", F.explode("homes").alias("home")).groupBy("home").agg(F.count(F.lit(1)).alias("n_near"), F.sum("size").alias("n_near_chars"))
     tiles = lambda n, most, chars: F.ceil(F.greatest(F.col(n) / most, F.col(chars) / TILE_CHARS)).cast("int")
