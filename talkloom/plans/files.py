@@ -15,11 +15,14 @@ from talkloom.sinks.tables import write_prompt_array
 from talkloom.sources import dialogues
 from talkloom.sources import messages as inbox
 from talkloom.streaming import messages as streams
+from talkloom.streaming.busy_state import busy_state
 
 #: Turn numbers that one dialogue document spans, so that a long conversation is several documents.
 DOCUMENT_TURNS = 256
 #: Parts in which the requests of stream_busy arrive.
 ARRIVALS = 4
+#: Keys that the one endpoint of stream_busy_state is cut into.
+CELLS = 4
 SHOT = ("a long line", "a line")
 TASK = "Write the answer."
 
@@ -142,6 +145,34 @@ def stream_busy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("event_id", "user_id", "start_us", "finish_us", "busy")
 
 
+def stream_busy_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flags from a stream in shuffled order: every other request comes one part late, the latest first."""
+    requests = busy_requests(spark, sf_dir)
+    shares = [i / ARRIVALS for i in range(ARRIVALS + 1)]
+    cuts = requests.agg(F.percentile_approx("start_us", shares)).first()[0] or [0]
+    part = F.size(F.filter(F.lit(cuts[1:-1]), lambda c: c <= F.col("start_us"))) + F.pmod(F.xxhash64("event_id"), F.lit(2))
+    # a request can come behind one that starts up to two parts after it
+    delay_us = 2 * max([b - a for a, b in zip(cuts, cuts[1:], strict=False)] or [0]) + 1_000_000
+    columns = ["event_id", "user_id", "endpoint", "start_us", "finish_us"]
+    folder, out, state = (session.shared_dir(spark) for _ in range(3))
+
+    def run() -> None:
+        arrived = spark.readStream.schema(requests.select(*columns).schema).parquet(folder)
+        flagged = busy_state(arrived, "endpoint", "user_id", "start_us", "finish_us", "event_id", f"{delay_us} microseconds", CELLS)
+        sink = flagged.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True)
+        sink.start(out).awaitTermination()
+
+    for number in range(ARRIVALS + 1):
+        coming = requests.filter(part == number).select(*columns)
+        coming.orderBy(F.col("start_us").desc()).write.mode("append").parquet(folder)
+        run()
+    # a row of no endpoint that never runs moves the clock past all requests
+    clock = requests.agg((F.max("start_us") + 2 * delay_us).alias("start_us")).filter("start_us IS NOT NULL")
+    clock.select(*[F.col(c) if c == "start_us" else F.lit(None if c in ("endpoint", "finish_us") else 0).cast(requests.schema[c].dataType).alias(c) for c in columns]).write.mode("append").parquet(folder)
+    run()
+    return spark.read.parquet(out).filter("endpoint IS NOT NULL").select("event_id", "user_id", "start_us", "finish_us", "busy")
+
+
 QUERIES = {
     "dialogues_roundtrip": (dialogues_roundtrip, DIALOGUES_ROUNDTRIP),
     "prompt_array_roundtrip": (prompt_array_roundtrip, PROMPT_ARRAY_ROUNDTRIP),
@@ -149,4 +180,5 @@ QUERIES = {
     "stream_replies": (stream_replies, MESSAGES_REPLIES),
     "stream_answers": (stream_answers, STREAM_ANSWERS),
     "stream_busy": (stream_busy, BUSY_AT_ARRIVAL),
+    "stream_busy_state": (stream_busy_state, BUSY_AT_ARRIVAL),
 }

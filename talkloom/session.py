@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +39,17 @@ def materialize(df: DataFrame) -> DataFrame:
     folder = shared_dir(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """df, once the executors' Python has this package, whose functions are about to run on its rows."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_talkloom_shipped", False):
+        package = Path(__file__).parent
+        archive = Path(tempfile.mkdtemp()) / f"{package.name}-core.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._talkloom_shipped = True
+    return df
