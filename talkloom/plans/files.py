@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from talkloom.plans.flows import build_sft
 from talkloom.plans.messages import BUSY_AT_ARRIVAL, MESSAGES_REPLIES, busy_requests, messages, replies_sql
 from talkloom.plans.records import SFT_SQL
 from talkloom.sinks.tables import write_prompt_array
-from talkloom.sources import dialogues
+from talkloom.sources import dialogues, nested
 from talkloom.sources import messages as inbox
 from talkloom.streaming import messages as streams
 from talkloom.streaming.busy_state import busy_state
@@ -23,6 +25,10 @@ DOCUMENT_TURNS = 256
 ARRIVALS = 4
 #: Keys that the one endpoint of stream_busy_state is cut into.
 CELLS = 4
+#: Bytes of a block of a large document, and its system text.
+DOCUMENT_BLOCK = 1 << 16
+DOCUMENT_HEAD = 'say "yes", or \\ "examples": ['
+_QUOTED_HEAD = json.dumps(DOCUMENT_HEAD)
 SHOT = ("a long line", "a line")
 TASK = "Write the answer."
 
@@ -63,6 +69,45 @@ SELECT conv_id, system, pos, CASE WHEN conv_id % 2 = 0 THEN example_id ELSE CAST
 FROM placed"""
 
 
+def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as two documents, an object of examples and an array, each read by many tasks."""
+    made = I.examples(spark, sf_dir).select(
+        "example_id", "conv_id", "turn", F.to_json(F.struct("prompt", "answer")).alias("value"), (F.col("conv_id") % 2 == 0).alias("keyed")
+    )
+    first = made.groupBy("keyed").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
+    examples = made.join(F.broadcast(first), "keyed").select(
+        "keyed", F.lit(1).alias("part"), "conv_id", "turn",
+        F.concat(
+            F.when(F.struct("conv_id", "turn") == F.col("first"), F.lit("")).otherwise(F.lit(",")),
+            F.when(F.col("keyed"), F.concat(F.to_json(F.array("example_id")).substr(F.lit(2), F.length("example_id") + 2), F.lit(":"))).otherwise(F.lit("")),
+            "value",
+        ).alias("value"),
+    )
+    head = F.concat(F.lit('{"system":'), F.lit(_QUOTED_HEAD), F.lit(', "examples": '), F.when(F.col("keyed"), F.lit("{")).otherwise(F.lit("[")))
+    edge = lambda part, value: first.select("keyed", F.lit(part).alias("part"), *(F.lit(0).cast("bigint").alias(c) for c in ("conv_id", "turn")), value.alias("value"))
+    tail = F.when(F.col("keyed"), F.lit("}}")).otherwise(F.lit("]}"))
+    lines = edge(0, head).unionByName(examples).unionByName(edge(2, tail))
+    folders = {}
+    for keyed in (True, False):
+        folders[keyed] = session.shared_dir(spark)
+        mine = lines.filter(F.col("keyed") == keyed).orderBy("part", "conv_id", "turn").select("value")
+        mine.coalesce(1).write.text(folders[keyed])
+    both = [nested.read_document(spark, folder, block_bytes=DOCUMENT_BLOCK).withColumn("keyed", F.lit(keyed)) for keyed, folder in folders.items()]
+    return both[0].unionByName(both[1]).select(
+        "keyed", "system", F.col("pos").cast("bigint").alias("pos"), "example_id",
+        F.col("prompt.UserInput").alias("user_input"), F.size("prompt.History").cast("bigint").alias("n_history"),
+        F.col("answer.MessageText").alias("message_text"), F.col("answer.Content.Action").alias("action"),
+    )
+
+
+DOCUMENT_ROUNDTRIP = f"""WITH {I.EXAMPLES_SQL},
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id % 2 = 0 ORDER BY conv_id, turn) - 1 AS pos FROM examples)
+SELECT conv_id % 2 = 0 AS keyed, {I.quote(DOCUMENT_HEAD)} AS system, pos,
+  CASE WHEN conv_id % 2 = 0 THEN example_id ELSE CAST(pos AS VARCHAR) END AS example_id,
+  user_input, CAST(len(history) AS BIGINT) AS n_history, message_text, action
+FROM placed"""
+
+
 def prompt_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2, S3: all records as one JSON array in parts, read back."""
     sft = build_sft(I.examples(spark, sf_dir))
@@ -175,6 +220,7 @@ def stream_busy_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "dialogues_roundtrip": (dialogues_roundtrip, DIALOGUES_ROUNDTRIP),
+    "document_roundtrip": (document_roundtrip, DOCUMENT_ROUNDTRIP),
     "prompt_array_roundtrip": (prompt_array_roundtrip, PROMPT_ARRAY_ROUNDTRIP),
     "pairs_to_sft": (pairs_to_sft, PAIRS_TO_SFT),
     "stream_replies": (stream_replies, MESSAGES_REPLIES),
