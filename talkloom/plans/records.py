@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from talkloom import schemas, session
 from talkloom.functions import prompts as P
+from talkloom.functions.templates import compile_template
 from talkloom.operators.inference import build_requests
 from talkloom.plans import inputs as I
 from talkloom.plans.flows import build_sft, chat_texts
@@ -128,6 +129,44 @@ SELECT example_id, concat('[INST] <<SYS>>', chr(10), system, chr(10), '<</SYS>>'
   ' [/INST]') AS text FROM sft"""
 
 
+#: Three chat formats as template text: role tags, a bracketed turn, and marked turns with an open answer.
+TEMPLATES = {
+    "tags": """{% for message in messages %}
+<s>{{ 'bot' if message['role'] == 'assistant' else message['role'] }}
+{{ message['content'] }}</s>{% endfor %}""",
+    "inst": """{{- '[INST] ' }}
+{%- for m in messages %}
+  {%- if m.role == 'system' %}{{ '<<SYS>>\\n' + m.content + '\\n<</SYS>>\\n\\n' }}
+  {%- elif m.role == 'user' %}{{ m.content | trim + ' [/INST]' }}
+  {%- else %}{{ ' ' + m.content + (eos_token if loop.last else '') }}{% endif %}
+{%- endfor %}""",
+    "turns": """{%- for m in messages %}
+    {%- if m['role'] in ['system', 'user'] or not loop.last %}
+        {{- '<|im_start|>' + m['role'] + '\\n' + m['content'] + '<|im_end|>\\n' }}
+    {%- endif %}
+{%- endfor %}
+{%- if add_generation_prompt %}{{ '<|im_start|>assistant\\n' }}{% endif %}""",
+}
+
+
+def chat_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records through three templates given as text."""
+    sft = build_sft(I.examples(spark, sf_dir))
+    messages = P.to_messages(system=F.col("system"), user=F.col("user"), assistant=F.col("bot"))
+    made = {n: compile_template(t, eos_token="</s>", add_generation_prompt=True)(messages) for n, t in TEMPLATES.items()}
+    return sft.select("example_id", *[column.alias(name) for name, column in made.items()])
+
+
+CHAT_TEMPLATE_TEXT = f"""WITH {SFT_SQL}
+SELECT example_id,
+  concat('<s>system', chr(10), system, '</s><s>user', chr(10), "user", '</s><s>bot', chr(10), bot, '</s>') AS tags,
+  concat('[INST] <<SYS>>', chr(10), system, chr(10), '<</SYS>>', chr(10), chr(10),
+    regexp_replace("user", '^\\s+|\\s+$', '', 'g'), ' [/INST] ', bot, '</s>') AS inst,
+  concat('<|im_start|>system', chr(10), system, '<|im_end|>', chr(10), '<|im_start|>user', chr(10), "user",
+    '<|im_end|>', chr(10), '<|im_start|>assistant', chr(10)) AS turns
+FROM sft"""
+
+
 def grpo_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     correct = F.array(F.col("answer.Content.Action"))
     return I.examples(spark, sf_dir).select(
@@ -193,6 +232,7 @@ QUERIES = {
     "sft_wrapped": (sft_wrapped, SFT_WRAPPED),
     "chat_messages": (chat_messages, CHAT_MESSAGES),
     "chat_template_role_tags": (chat_template_role_tags, CHAT_TEMPLATE_ROLE_TAGS),
+    "chat_template_text": (chat_template_text, CHAT_TEMPLATE_TEXT),
     "chat_template_inst": (chat_template_inst, CHAT_TEMPLATE_INST),
     "grpo_prompts": (grpo_prompts, GRPO_PROMPTS),
     "eval_requests": (eval_requests, EVAL_REQUESTS),
