@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom import session
 from talkloom.functions import strict_json as J
 from talkloom.operators import inference, rewards
 from talkloom.operators import scoring as S
+from talkloom.operators.alignment import align_by_position, number_rows
 from talkloom.plans import inputs as I
 from talkloom.sinks.tables import write_report
 
@@ -145,6 +147,33 @@ def eval_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("example_id", "user_input", "response", "action.passed", "action.reason")
 
 
+def eval_align_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 by position: expected answers and responses as two lists of files, the second without its last rows."""
+    made = I.responses(spark, sf_dir)
+    last = made.agg(F.max("example_id").alias("last"))
+    answers = made.join(F.broadcast(last), F.col("example_id") < F.col("last")).drop("last")
+    lists = {"expected": made.select("example_id", "expected_answer"), "response": answers.select("example_id", "response")}
+    read = {}
+    for name, rows in lists.items():
+        folder = session.shared_dir(spark)
+        rows.orderBy("example_id").write.option("ignoreNullFields", "false").json(folder)
+        kept = [c for c in rows.columns if name == "expected" or c != "example_id"]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in kept])
+        read[name] = number_rows(spark.read.schema(schema).json(folder))
+    both = align_by_position(read["expected"], read["response"])
+    scored = S.run_scorers(S.parse_responses(both, "response", "expected_answer"), [S.ACTION])
+    return scored.select("pos", "example_id", "response", "side", "action.passed", "action.reason")
+
+
+EVAL_ALIGN_POSITION = f"""WITH {_SCORED}
+SELECT row_number() OVER (ORDER BY example_id) - 1 AS pos, example_id,
+  CASE WHEN example_id < last THEN response END AS response,
+  CASE WHEN example_id < last THEN 'both' ELSE 'left only' END AS side,
+  example_id < last AND action_reason = 'match' AS passed,
+  CASE WHEN example_id < last THEN action_reason ELSE 'missing_response' END AS reason
+FROM scored, (SELECT max(example_id) AS last FROM scored)"""
+
+
 EVAL_ALIGN = f"""WITH {I.EXAMPLES_SQL}, {_SCORED}
 SELECT e.example_id, e.user_input, s.response, coalesce(s.action_reason = 'match', false) AS passed,
   coalesce(s.action_reason, 'missing_response') AS reason
@@ -266,6 +295,7 @@ QUERIES = {
     "eval_pass_rate": (eval_pass_rate, EVAL_PASS_RATE),
     "eval_failures": (eval_failures, EVAL_FAILURES),
     "eval_align": (eval_align, EVAL_ALIGN),
+    "eval_align_position": (eval_align_position, EVAL_ALIGN_POSITION),
     "eval_report": (eval_report, EVAL_REPORT),
     "judge_gate": (judge_gate, JUDGE_GATE),
     "grpo_rewards": (grpo_rewards, GRPO_REWARDS),
