@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.llm import buffers, shards
+from talkloom.llm.tables import free_names
 
 LEAST_DOCS = 3
 LEAST_TOKENS = 4
@@ -72,6 +73,7 @@ def _replaced(table: pa.Table, name: str, mask: np.ndarray, values: pa.Array) ->
     return table.set_column(table.schema.get_field_index(name), pa.field(name, kind), column)
 
 
+@free_names("doc_id", "text", "n_chars")
 def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_tokens: int = LEAST_TOKENS, shard_bytes: int | None = None) -> DataFrame:
     """docs without the recurring lines of all but the first document of each template, same columns."""
     n = shards.shard_count(docs, shard_bytes)

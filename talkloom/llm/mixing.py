@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkloom.llm.tables import few, written
+from talkloom.llm.tables import few, free_names, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -126,6 +126,7 @@ def mix(sizes: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WOR
     return docs.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 
 
+@free_names("doc_id", "text", "source")
 def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The mixture as documents: whole texts, each as often as it is taken; a part that is left over comes whole with its odds.
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkloom.llm import buffers
-from talkloom.llm.tables import shipped, written
+from talkloom.llm.tables import free_names, shipped, written
 
 WORDS = 4
 BITS = 4
@@ -241,6 +241,7 @@ def one_each(rows: DataFrame, columns: list[str]) -> DataFrame:
     return chosen.select("_row.*")
 
 
+@free_names("doc_id", "text")
 def representatives(docs: DataFrame, n_words: int = WORDS, bits: int = BITS) -> DataFrame:
     """One row of docs for each component, that of its smallest doc_id, with all columns. Rows without a doc_id stand for their own component."""
     kind = T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())])

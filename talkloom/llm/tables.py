@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,3 +59,18 @@ FEW_ROWS = 50_000
 def few(table: DataFrame, rows: int = FEW_ROWS) -> DataFrame:
     """Ask for a broadcast of a written table only if a count shows that it is small; else Spark joins it as it sees fit."""
     return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
+def free_names(*own: str) -> Callable:
+    """For operators on a table: columns other than `own` bear numbered names while it works, so that its helper columns clash with none."""
+
+    def wrap(work: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(work)
+        def run(table: DataFrame, *args, **options) -> DataFrame:
+            numbered = {c: f"extra{i}" for i, c in enumerate(table.columns) if c not in own}
+            out = work(table.withColumnsRenamed(numbered), *args, **options)
+            return out.withColumnsRenamed({n: c for c, n in numbered.items()})
+
+        return run
+
+    return wrap

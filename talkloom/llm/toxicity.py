@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkloom.llm import buffers
-from talkloom.llm.tables import shipped
+from talkloom.llm.tables import free_names, shipped
 
 SAMPLE_ROWS = 2000
 FOLDS = 5
@@ -296,6 +296,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return shipped(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, spans string")
 
 
+@free_names("doc_id", "text")
 def clean_documents(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The documents that score below the limit, all their columns. The score is computed beside the text, so no join is needed."""
     fields = docs.schema
