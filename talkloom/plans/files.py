@@ -25,8 +25,8 @@ DOCUMENT_TURNS = 256
 ARRIVALS = 4
 #: Keys that the one endpoint of stream_busy_state is cut into.
 CELLS = 4
-#: Bytes of a block of a large document, and its system text.
-DOCUMENT_BLOCK = 1 << 16
+#: Tasks that read a document at least, if their blocks hold between LEAST_BLOCK and MOST_BLOCK bytes; and its system text.
+DOCUMENT_TASKS, LEAST_BLOCK, MOST_BLOCK = 16, 1 << 16, 128 << 20
 DOCUMENT_HEAD = 'say "yes", or \\ "examples": ['
 _QUOTED_HEAD = json.dumps(DOCUMENT_HEAD)
 SHOT = ("a long line", "a line")
@@ -92,7 +92,9 @@ def document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         folders[keyed] = session.shared_dir(spark)
         mine = lines.filter(F.col("keyed") == keyed).orderBy("part", "conv_id", "turn").select("value")
         mine.coalesce(1).write.text(folders[keyed])
-    both = [nested.read_document(spark, folder, block_bytes=DOCUMENT_BLOCK).withColumn("keyed", F.lit(keyed)) for keyed, folder in folders.items()]
+    total = made.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    block = min(MOST_BLOCK, max(LEAST_BLOCK, total // (2 * DOCUMENT_TASKS)))
+    both = [nested.read_document(spark, folder, block_bytes=block).withColumn("keyed", F.lit(keyed)) for keyed, folder in folders.items()]
     return both[0].unionByName(both[1]).select(
         "keyed", "system", F.col("pos").cast("bigint").alias("pos"), "example_id",
         F.col("prompt.UserInput").alias("user_input"), F.size("prompt.History").cast("bigint").alias("n_history"),
