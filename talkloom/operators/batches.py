@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkloom import constants as C
 
 OFFSET_GROUP = 65_536
+#: Batches that are sorted together, and swap rounds of the shuffle before.
+MEGA_BATCHES = 50
+SHUFFLE_ROUNDS = 24
 
 
 def _div(number: Column, by: int) -> Column:
@@ -94,3 +99,37 @@ def step_plan(
         .withColumn("evaluates", F.col("step") % eval_every == 0)
         .drop("_offset")
     )
+
+
+def _round_keys(seed: int, rounds: int) -> list[int]:
+    return [int(hashlib.md5(f"{seed}:{r}".encode()).hexdigest()[:12], 16) for r in range(rounds)]
+
+
+def permuted(index: Column, n: int, seed: int, rounds: int = SHUFFLE_ROUNDS) -> Column:
+    """A seeded permutation of 0 .. n-1, row by row and without a sort.
+
+    Every round pairs x with (key - x) mod n and swaps the pair or not, by a digest that both of them share; that is one-to-one for any n.
+    """
+    keys = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(k % n).cast("long").alias("k")) for r, k in enumerate(_round_keys(seed, rounds))])
+
+    def swap(x: Column, key: Column) -> Column:
+        other = F.pmod(key["k"] - x, F.lit(n).cast("long"))
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key["r"].cast("string"), F.greatest(x, other).cast("string")).cast("binary"))
+        return F.when(F.substring(digest, 1, 1) >= "8", other).otherwise(x)
+
+    return F.aggregate(keys, index.cast("long"), swap)
+
+
+def grouped_batches(
+    df: DataFrame, index: str, length: str, n: int, seed: int = 42, batch_size: int = C.MICRO_BATCH, mega: int = MEGA_BATCHES
+) -> DataFrame:
+    """T8 as a trainer groups: a seeded shuffle cut into mega-batches of `mega` batches, each sorted by length, longest first.
+
+    `index` holds different whole numbers from 0 to n - 1; numbers that no row has leave smaller mega-batches. Adds shuffled, mega_batch, rank and
+    batch (a number over all rows). A window sees one mega-batch, so the shuffle is even and nothing is ordered over all rows.
+    """
+    size = mega * batch_size
+    placed = df.withColumn("shuffled", permuted(F.col(index), n, seed)).withColumn("mega_batch", _div(F.col("shuffled"), size))
+    by_length = Window.partitionBy("mega_batch").orderBy(F.desc(length), "shuffled")
+    ranked = placed.withColumn("rank", (F.row_number().over(by_length) - 1).cast("long"))
+    return ranked.withColumn("batch", F.col("mega_batch") * mega + _div(F.col("rank"), batch_size))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkloom import session
+from talkloom.functions import shape
 from talkloom.functions import strict_json as J
-from talkloom.operators import inference, rewards
+from talkloom.operators import inference, resumable, rewards
 from talkloom.operators import scoring as S
 from talkloom.operators.alignment import align_by_position, number_rows
 from talkloom.plans import inputs as I
@@ -283,7 +284,65 @@ SELECT example_id,
     WHEN length(user_input) % 5 = 0 THEN 'no choice returned' END AS error
 FROM examples"""
 
+
+
+def eval_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 resumed: a first run answers the prompts of even length, a second one all; it asks only what has no good answer yet."""
+    prompts = I.examples(spark, sf_dir, max_history=0).select("example_id", F.col("prompt.UserInput").alias("prompt"))
+    store = session.shared_dir(spark)
+    resumable.generate_resumable(prompts.filter(F.length("prompt") % 2 == 0), _stub_client, store, rounds=2)
+    done = resumable.generate_resumable(prompts, _stub_client, store, rounds=2)
+    return done.select("example_id", "response", "error", "run")
+
+
+EVAL_RESUMED = f"""WITH {I.EXAMPLES_SQL}, asked AS (SELECT example_id, user_input, length(user_input) AS n FROM examples)
+SELECT example_id,
+  CASE WHEN n % 7 <> 0 AND n % 5 <> 0 THEN concat(n, ' chars, starts ', split_part(user_input, ' ', 1)) END AS response,
+  CASE WHEN n IS NULL THEN 'no prompt' WHEN n % 7 = 0 THEN 'ValueError: unlucky length' WHEN n % 5 = 0 THEN 'no choice returned' END AS error,
+  CAST(CASE WHEN n IS NULL THEN NULL WHEN n % 2 = 0 AND n % 7 <> 0 AND n % 5 <> 0 THEN 1 ELSE 2 END AS BIGINT) AS run
+FROM asked"""
+
+#: The shape of a response, as nested parts.
+RESPONSE_SHAPE = {
+    "type": "object",
+    "properties": {
+        "MessageText": {"type": "string"},
+        "Content": {
+            "type": "object",
+            "properties": {"Action": {"type": "string", "enum": ["Talk", "Open Door", "Lights Off"]}},
+            "required": ["Action"],
+            "additionalProperties": False,
+        },
+    },
+    "required": ["MessageText", "Content"],
+    "additionalProperties": False,
+}
+
+
+def schema_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 for any schema: where each response first breaks it, and how."""
+    made = _parsed(spark, sf_dir).select("example_id", shape.violation(F.col("value"), RESPONSE_SHAPE).alias("v"))
+    return made.select("example_id", "v.path", "v.reason")
+
+
+SCHEMA_PATHS = f"""WITH {_SCORED}, faults AS (SELECT example_id, CASE
+  WHEN response IS NULL OR NOT valid THEN '$ not_json'
+  WHEN json_type(response) <> 'OBJECT' THEN '$ type'
+  WHEN json_type(response, '$.MessageText') IS NULL THEN '$.MessageText missing'
+  WHEN json_type(response, '$.Content') IS NULL THEN '$.Content missing'
+  WHEN len([k FOR k IN json_keys(response) IF k NOT IN ('MessageText', 'Content')]) > 0
+    THEN concat('$.', list_min([k FOR k IN json_keys(response) IF k NOT IN ('MessageText', 'Content')]), ' extra')
+  WHEN json_type(response, '$.MessageText') <> 'VARCHAR' THEN '$.MessageText type'
+  WHEN json_type(response, '$.Content') <> 'OBJECT' THEN '$.Content type'
+  WHEN json_type(response, '$.Content.Action') IS NULL THEN '$.Content.Action missing'
+  WHEN json_type(response, '$.Content.Action') <> 'VARCHAR' THEN '$.Content.Action type'
+  WHEN json_extract_string(response, '$.Content.Action') NOT IN ('Talk', 'Open Door', 'Lights Off') THEN '$.Content.Action enum'
+  END AS fault FROM scored)
+SELECT example_id, split_part(fault, ' ', 1) AS path, split_part(fault, ' ', 2) AS reason FROM faults"""
+
 QUERIES = {
+    "eval_resumed": (eval_resumed, EVAL_RESUMED),
+    "schema_paths": (schema_paths, SCHEMA_PATHS),
     "extract_json": (extract_json, EXTRACT_JSON),
     "parse_status": (parse_status, PARSE_STATUS),
     "score_action": (score_action, SCORE_ACTION),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkloom import constants as C
+from talkloom import session
 from talkloom.functions import arrays as A
 from talkloom.operators import batches as B
 from talkloom.operators import tokens as T
@@ -228,7 +229,33 @@ steps AS (SELECT *, CAST(batch_no // 4 + 1 AS BIGINT) AS step FROM numbered)
 SELECT bucket, batch, n_rows, max_len, sum_len, batch_no, step, step % 5 = 0 AS logs, step % 20 = 0 AS evaluates
 FROM steps"""
 
+SHUFFLE_SEED = 42
+
+
+def grouped_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a seeded, length-grouped epoch."""
+    lengths = session.materialize(_lengths(spark, sf_dir).select("doc_id", "length"))
+    n = (lengths.agg(F.max("doc_id")).first()[0] or 0) + 1
+    return B.grouped_batches(lengths, "doc_id", "length", n, SHUFFLE_SEED)
+
+
+def _shuffle_sql() -> str:
+    steps = ["swap0 AS (SELECT doc_id, length, doc_id AS x, max(doc_id) OVER () + 1 AS n FROM lengths)"]
+    for r, key in enumerate(B._round_keys(SHUFFLE_SEED, B.SHUFFLE_ROUNDS)):
+        other = f"(({key} % n) - x + n) % n"
+        steps.append(
+            f"swap{r + 1} AS (SELECT doc_id, length, CASE WHEN md5(concat('{SHUFFLE_SEED}:{r}:', greatest(x, {other})))[1] >= '8' THEN {other} ELSE x END AS x, n FROM swap{r})"
+        )
+    return ", ".join(steps)
+
+
+GROUPED_BATCHES = f"""WITH {_LENGTHS_SQL}, {_shuffle_sql()},
+placed AS (SELECT doc_id, length, CAST(x AS BIGINT) AS shuffled, CAST(x // {2 * B.MEGA_BATCHES} AS BIGINT) AS mega_batch FROM swap{B.SHUFFLE_ROUNDS}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY mega_batch ORDER BY length DESC, shuffled) - 1 AS rank FROM placed)
+SELECT *, CAST(mega_batch * {B.MEGA_BATCHES} + rank // 2 AS BIGINT) AS batch FROM ranked"""
+
 QUERIES = {
+    "grouped_batches": (grouped_batches, GROUPED_BATCHES),
     "vocab_topk": (vocab_topk, VOCAB_TOPK),
     "encode_ids": (encode_ids, ENCODE_IDS),
     "encode_padded": (encode_padded, ENCODE_PADDED),

@@ -37,3 +37,23 @@ def test_large_ids_stay_exact(spark):
     big = 2**60 + 64 * 3 + 63
     row = spark.range(big, big + 1).select(B.range_bucket("id", 64)).first()
     assert row[0] == big // 64
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 203, 4096])
+def test_a_permutation_for_any_size_and_seed(spark, n):
+    got = [r[0] for r in spark.range(n).select(B.permuted(F.col("id"), n, 42)).collect()]
+    assert sorted(got) == list(range(n))
+    other = [r[0] for r in spark.range(n).select(B.permuted(F.col("id"), n, 43)).collect()]
+    assert n < 100 or (got != other and sum(a == i for i, a in enumerate(got)) < n / 10)
+
+
+def test_grouped_batches_equal_a_plain_loop(rows):
+    got = B.grouped_batches(rows, "id", "n", 203, seed=5, batch_size=4, mega=5).collect()
+    order = {r.shuffled: r for r in got}
+    assert sorted(order) == list(range(203)) and sorted(r.id for r in got) == list(range(203))
+    batch = 0
+    for begin in range(0, 203, 20):
+        part = sorted((order[i] for i in range(begin, min(203, begin + 20))), key=lambda r: (-r.n, r.shuffled))
+        for at in range(0, len(part), 4):
+            assert {r.batch for r in part[at : at + 4]} == {batch}
+            batch += 1
