@@ -1,36 +1,46 @@
-"""Line dedup by log templates: a tree of fixed depth over token count and leading tokens.
+"""Line dedup by log templates: a tree of fixed depth over token count and leading tokens, and templates matched in its leaves.
 
-A line's tokens are its words. Variable fields are generalised to one wildcard in two ways. Tokens that hold a digit always are. And of
-the tokens after the leading ones, those at even or those at odd places may all be wildcards, if enough tokens stay constant; two
-lines that differ in variable fields at places of one parity then have a template in common. A template is a path of the tree: token
-count, leading tokens, the constant tokens and their places, held as one 64-bit hash.
+A line's tokens are its words; a token that holds a digit is a variable field. The tree's path of a line is its token count and its
+first tokens, variable fields as one wildcard; where a path ends, in a leaf, are all lines that share it. Within a leaf a token is
+constant if at least two documents have it there at that place, any other is a variable field as well, whatever its place. A line's
+template is its leaf with its constant tokens and their places. Templates need `CONSTANT` constant tokens that make up
+`CONSTANT_SHARE` of all, so rows of numbers are no template. Every line is also its own template, with no variable field.
 
-A template recurs if at least `least_docs` documents have it. Of its lines, those of the smallest doc_id stay and all others are
-dropped, so no content is lost. Lines with fewer than `least_tokens` tokens are never dropped: short lines recur by chance.
+A template recurs if enough documents have it: two if it has `LONG` constant tokens, three if it has fewer. A line below `CONSTANT`
+tokens recurs only as itself and from `SHORT_DOCS` documents and `SHORT_SHARE` of all rows on, since short lines recur by chance. Of the
+lines of a recurring template those of the smallest doc_id stay and all others are dropped.
 
-Lines are separated by "\\n"; those that stay are joined again by it. Null text is left null and has no lines. Rows of equal doc_id
+Paths, tokens of shared leaves and templates are each counted over all documents by shards (see shards.py): a leaf, however
+full, is never in one task.
+
+Lines are separated by "\n"; those that stay are joined again by it. Null text is left null and has no lines. Rows of equal doc_id
 are one document. Documents that lose nothing are returned as they were, others with their new text and n_chars, if there is such a
 column; all rows and columns are kept. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from talkloom.llm import buffers, shards
 from talkloom.llm.tables import free_names
 
-LEAST_DOCS = 3
-LEAST_TOKENS = 4
 LEADING = 2
-#: Constant tokens, the leading ones included, that a template with wildcards by parity must keep.
-CONSTANT = 8
+#: Constant tokens that a template must have, and their share of its tokens.
+CONSTANT = 4
+CONSTANT_SHARE = 0.6
+#: Constant tokens from which two documents are enough.
+LONG = 8
+FEW_DOCS, LONG_DOCS = 3, 2
+#: Documents, and their share of all rows, from which lines of fewer tokens than CONSTANT recur.
+SHORT_DOCS, SHORT_SHARE = 10, 0.002
 
 _LINE = np.ones(256, bool)
 _LINE[10] = False
@@ -38,32 +48,93 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 _WILDCARD = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_EXACT, _LEAF, _TEMPLATE = (np.uint64(x) for x in (1, 2, 3))
+
+
+@dataclass
+class Parsed:
+    """The lines of a chunk that hold tokens: `lines` has all lines, `at` the index there; the rest is an entry a line or a token."""
+
+    lines: buffers.Runs
+    at: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+    exact: np.ndarray
+    leaf: np.ndarray
+    place: np.ndarray
+    field: np.ndarray
+
+    def rows(self) -> np.ndarray:
+        return self.lines.rows[self.at]
 
+    def long(self) -> np.ndarray:
+        return self.count >= CONSTANT
 
-def templates(texts: buffers.Texts, least_tokens: int = LEAST_TOKENS) -> tuple[buffers.Runs, np.ndarray, np.ndarray]:
-    """Lines of a chunk, and the templates of those that may be dropped: hashes and the line of each."""
+    def templates(self, constant: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Template of every line from the keys of constant tokens, its number of constant tokens, and whether it is one."""
+        held = shards.looked_up(constant, self.place)[0] & ~self.field
+        total = np.add.reduceat(np.where(held, buffers.mixed(self.place + _TEMPLATE), 0).astype(np.uint64), self.first)
+        n = np.add.reduceat(held, self.first, dtype=np.int64)
+        return buffers.mixed(total + self.leaf * _STEP + _TEMPLATE), n, (n >= CONSTANT) & (n >= CONSTANT_SHARE * self.count)
+
+
+def parsed(texts: buffers.Texts) -> Parsed | None:
+    """None if there are no tokens."""
     lines, words = buffers.runs(texts, _LINE), buffers.words(texts)
     if not len(words.starts):
-        return lines, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return None
     digits = np.zeros(len(texts.data) + 1, np.int64)
     np.cumsum(_DIGIT[texts.data], out=digits[1:])
     token = buffers.Hasher(texts.data)(words.starts, words.ends)
-    token[digits[words.ends] > digits[words.starts]] = _WILDCARD
+    field = digits[words.ends] > digits[words.starts]
     line = np.searchsorted(lines.starts, words.starts, "right") - 1
     first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
     count = np.diff(np.append(first, len(line)))
     place = np.arange(len(line)) - np.repeat(first, count)
-    weighed = buffers.mixed(token + (place + 1).astype(np.uint64) * _STEP)
-    kinds = []
-    for parity in (None, 0, 1):
-        stays = np.ones(len(line), bool) if parity is None else (place < LEADING) | (place % 2 == parity)
-        total = np.add.reduceat(np.where(stays, weighed, 0).astype(np.uint64), first)
-        name = buffers.mixed(total + count.astype(np.uint64) * _WILDCARD + np.uint64(parity + 1 if parity is not None else 0))
-        enough = count >= least_tokens
-        if parity is not None:
-            enough &= np.add.reduceat(stays, first, dtype=np.int64) >= CONSTANT
-        kinds.append((name[enough], line[first][enough]))
-    return lines, np.concatenate([k for k, _ in kinds]), np.concatenate([r for _, r in kinds])
+    step = (place + 1).astype(np.uint64) * _STEP
+    exact = buffers.mixed(np.add.reduceat(buffers.mixed(token + step), first) + _EXACT)
+    masked = buffers.mixed(np.where(field, _WILDCARD, token) + step)
+    leaf = buffers.mixed(np.add.reduceat(np.where(place < LEADING, masked, 0).astype(np.uint64), first) + count.astype(np.uint64) * _STEP + _LEAF)
+    return Parsed(lines, line[first], first, count, exact, leaf, buffers.mixed(masked + np.repeat(leaf, count)), field)
+
+
+_NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def _lines_and_leaves(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray]:
+    p = parsed(texts)
+    if p is None:
+        return _NONE
+    return np.concatenate([p.exact, p.leaf[p.long()]]), np.concatenate([p.rows(), p.rows()[p.long()]])
+
+
+def _tokens(texts: buffers.Texts, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = parsed(texts)
+    if p is None:
+        return _NONE
+    wanted = np.repeat(p.long() & shards.looked_up(shared, p.leaf)[0], p.count) & ~p.field
+    return p.place[wanted], np.repeat(p.rows(), p.count)[wanted]
+
+
+def _templates(texts: buffers.Texts, constant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    p = parsed(texts)
+    if p is None:
+        return _NONE
+    names, _, enough = p.templates(constant)
+    return names[enough], p.rows()[enough]
+
+
+def _later(p: Parsed, ids: np.ndarray, names: np.ndarray, docs: np.ndarray, least: np.ndarray, short_docs: int) -> np.ndarray:
+    """Which lines a document of a smaller id has already, as themselves or by their template, and enough documents have."""
+
+    def recurs(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        hit, at = shards.looked_up(names, keys)
+        hit[hit] = (docs[at[hit]] >= wanted[hit]) & (least[at[hit]] < ids[hit])
+        return hit
+
+    template, n, enough = p.templates(names)
+    exact = recurs(p.exact, np.where(p.count >= LONG, LONG_DOCS, np.where(p.long(), FEW_DOCS, short_docs)))
+    return exact | (enough & recurs(template, np.where(n >= LONG, LONG_DOCS, FEW_DOCS)))
 
 
 def _replaced(table: pa.Table, name: str, mask: np.ndarray, values: pa.Array) -> pa.Table:
@@ -74,27 +145,29 @@ def _replaced(table: pa.Table, name: str, mask: np.ndarray, values: pa.Array) ->
 
 
 @free_names("doc_id", "text", "n_chars")
-def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_tokens: int = LEAST_TOKENS, shard_bytes: int | None = None) -> DataFrame:
+def dedup(docs: DataFrame, shard_bytes: int | None = None) -> DataFrame:
     """docs without the recurring lines of all but the first document of each template, same columns."""
     n = shards.shard_count(docs, shard_bytes)
+    short_docs = max(SHORT_DOCS, math.ceil(SHORT_SHARE * docs.count()))
     spread = shards.sharded(docs, n)
-
-    def keys_of(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray]:
-        lines, names, line = templates(texts, least_tokens)
-        return names, lines.rows[line]
+    shared = shards.shared_keys(spread, _lines_and_leaves, n)
+    constant = shards.shared_keys(spread, _tokens, n, with_least=False, known=shared)
+    recurring = shards.shared_keys(spread, _templates, n, known=constant)
 
     def drop(table: pa.Table, got: pa.Table) -> pa.Table:
         if not len(table):
             return table.drop_columns("_shard")
-        names, _, least = shards.merged(got)
+        names, held, least = shards.merged(got)
         ids = shards.doc_ids(table)
         column = table.column("text")
         rows, fresh, texts = [], [], buffers.from_arrow(column)
         for chunk in buffers.chunks(texts):
-            lines, found, line = templates(chunk, least_tokens)
-            hit, at = shards.looked_up(names, found)
+            found = parsed(chunk)
+            if found is None:
+                continue
+            lines = found.lines
             later = np.zeros(len(lines.starts), bool)
-            later[line[hit][least[at[hit]] < ids[lines.rows[line[hit]] + chunk.first]]] = True
+            later[found.at[_later(found, ids[found.rows() + chunk.first], names, held, least, short_docs)]] = True
             gone = set(lines.starts[later].tolist())
             for row in np.unique(lines.rows[later]).tolist():
                 start = int(chunk.starts[row])
@@ -110,4 +183,4 @@ def dedup(docs: DataFrame, least_docs: int = LEAST_DOCS, least_tokens: int = LEA
                 table = _replaced(table, "n_chars", mask, pa.array([len(x) for x in fresh], pa.int64()))
         return table.drop_columns("_shard")
 
-    return shards.with_shared(spread, shards.shared_keys(spread, keys_of, n, least_docs), drop, docs.schema)
+    return shards.with_shared(spread, shared.unionByName(constant).unionByName(recurring), drop, docs.schema)

@@ -74,15 +74,16 @@ _SENT = "_shard long, bucket long, keys binary, docs binary, least binary"
 _SHARED = "_shard long, keys binary, docs binary, least binary"
 
 
-def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.ndarray, np.ndarray]], n: int, least_docs: int = 2, with_least: bool = True) -> DataFrame:
+def shared_keys(shards: DataFrame, keys_of: Callable[..., tuple[np.ndarray, np.ndarray]], n: int, least_docs: int = 2, with_least: bool = True, known: DataFrame | None = None) -> DataFrame:
     """_shard, keys (uint64), docs (uint32, how many documents have it), least (int64, smallest doc_id): packed, keys in order, for every
-    shard only its own keys that at least least_docs documents have. keys_of gives keys and rows for the texts of a chunk. Without with_least
-    the smallest doc_ids are left out (null) of all messages."""
+    shard only its own keys that at least least_docs documents have. keys_of gives keys and rows for the texts of a chunk; with `known`, what
+    an earlier call gave, it gets the ordered keys that the shard has from there as well. Without with_least the smallest doc_ids are left
+    out (null) of all messages."""
     n_buckets = max(1, -(-n // SHARDS_A_BUCKET))
 
-    def send(table: pa.Table) -> pa.Table:
-        ids = doc_ids(table)
-        found = [(k, r + c.first) for c in buffers.chunks(buffers.from_arrow(table.column("text"))) for k, r in [keys_of(c)]]
+    def send(table: pa.Table, *got: pa.Table) -> pa.Table:
+        ids, names = doc_ids(table), [merged(x)[0] for x in got]
+        found = [(k, r + c.first) for c in buffers.chunks(buffers.from_arrow(table.column("text"))) for k, r in [keys_of(c, *names)]]
         keys, rows = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         # one entry a document: equal ids are one document
         order = np.lexsort((ids[rows], keys))
@@ -98,7 +99,7 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
         bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
         order, starts = grouped(bucket)
         parts = [p for p in np.split(order, starts[1:]) if len(p)]
-        shard = table.column("_shard")[0].as_py()
+        shard = table.column("_shard")[0].as_py() if len(table) else None
         return pa.table({
             "_shard": pa.array([shard] * len(parts), pa.int64()),
             "bucket": pa.array([int(bucket[p[0]]) for p in parts], pa.int64()),
@@ -125,7 +126,10 @@ def shared_keys(shards: DataFrame, keys_of: Callable[[buffers.Texts], tuple[np.n
                 out["least"].append(_packed(smallest[at][got], np.int64) if with_least else None)
         return pa.table({k: pa.array(v, pa.int64() if k == "_shard" else pa.binary()) for k, v in out.items()})
 
-    sent = shipped(shards).groupBy("_shard").applyInArrow(send, _SENT)
+    if known is None:
+        sent = shipped(shards).groupBy("_shard").applyInArrow(send, _SENT)
+    else:
+        sent = with_shared(shards, known, send, _SENT)
     return sent.groupBy("bucket").applyInArrow(add, _SHARED)
 
 
@@ -133,8 +137,9 @@ def merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What one shard got from all buckets: keys in order, docs, least."""
     if not len(table):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    keys, docs = np.concatenate(_keys(table.column("keys"))), np.concatenate(_unpacked(table.column("docs"), np.uint32))
-    least = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("least").to_pylist() if x is not None] or [np.zeros(len(keys), np.int64)])
+    parts, docs = _keys(table.column("keys")), np.concatenate(_unpacked(table.column("docs"), np.uint32))
+    least = np.concatenate([np.zeros(len(k), np.int64) if x is None else np.frombuffer(x, np.int64) for k, x in zip(parts, table.column("least").to_pylist(), strict=True)])
+    keys = np.concatenate(parts)
     order = np.argsort(keys)
     return keys[order], docs[order], least[order]
 
