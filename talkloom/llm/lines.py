@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from talkloom.llm import buffers, shards
 from talkloom.llm.tables import free_names
 
+#: Leading tokens of a path; `parsed` combines the first two.
 LEADING = 2
 #: Constant tokens that a template must have, and their share of its tokens.
 CONSTANT = 4
@@ -59,9 +60,10 @@ class Parsed:
     at: np.ndarray
     first: np.ndarray
     count: np.ndarray
-    exact: np.ndarray
     leaf: np.ndarray
+    token: np.ndarray
     place: np.ndarray
+    masked: np.ndarray
     field: np.ndarray
 
     def rows(self) -> np.ndarray:
@@ -70,11 +72,32 @@ class Parsed:
     def long(self) -> np.ndarray:
         return self.count >= CONSTANT
 
+    def exact(self) -> np.ndarray:
+        """Key of every line as it is."""
+        return buffers.mixed(np.add.reduceat(buffers.mixed(self.token + self.place), self.first) + _EXACT)
+
+    def constants_of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lines and keys (leaf, place, token) of the tokens that are no fields in the chosen lines."""
+        tokens = np.flatnonzero(np.repeat(chosen, self.count) & ~self.field)
+        line = np.searchsorted(self.first, tokens, "right") - 1
+        return line, buffers.mixed(self.masked[tokens] + self.leaf[line])
+
     def templates(self, constant: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Template of every line from the keys of constant tokens, its number of constant tokens, and whether it is one."""
-        held = shards.looked_up(constant, self.place)[0] & ~self.field
-        total = np.add.reduceat(np.where(held, buffers.mixed(self.place + _TEMPLATE), 0).astype(np.uint64), self.first)
-        n = np.add.reduceat(held, self.first, dtype=np.int64)
+        chosen = self.long()
+        for i in range(LEADING):
+            # all documents of a leaf share its leading tokens: if one of them is not constant, none is
+            lines = np.flatnonzero(chosen)
+            tokens = self.first[lines] + i
+            single = ~shards.looked_up(constant, buffers.mixed(self.masked[tokens] + self.leaf[lines]))[0] & ~self.field[tokens]
+            chosen[lines[single]] = False
+        line, keys = self.constants_of(chosen)
+        held = shards.looked_up(constant, keys)[0]
+        line, keys = line[held], keys[held]
+        total, n = np.zeros(len(self.first), np.uint64), np.bincount(line, minlength=len(self.first))
+        if len(line):
+            begins = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+            total[line[begins]] = np.add.reduceat(buffers.mixed(keys + _TEMPLATE), begins)
         return buffers.mixed(total + self.leaf * _STEP + _TEMPLATE), n, (n >= CONSTANT) & (n >= CONSTANT_SHARE * self.count)
 
 
@@ -83,19 +106,18 @@ def parsed(texts: buffers.Texts) -> Parsed | None:
     lines, words = buffers.runs(texts, _LINE), buffers.words(texts)
     if not len(words.starts):
         return None
-    digits = np.zeros(len(texts.data) + 1, np.int64)
-    np.cumsum(_DIGIT[texts.data], out=digits[1:])
     token = buffers.Hasher(texts.data)(words.starts, words.ends)
-    field = digits[words.ends] > digits[words.starts]
-    line = np.searchsorted(lines.starts, words.starts, "right") - 1
-    first = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
-    count = np.diff(np.append(first, len(line)))
-    place = np.arange(len(line)) - np.repeat(first, count)
-    step = (place + 1).astype(np.uint64) * _STEP
-    exact = buffers.mixed(np.add.reduceat(buffers.mixed(token + step), first) + _EXACT)
-    masked = buffers.mixed(np.where(field, _WILDCARD, token) + step)
-    leaf = buffers.mixed(np.add.reduceat(np.where(place < LEADING, masked, 0).astype(np.uint64), first) + count.astype(np.uint64) * _STEP + _LEAF)
-    return Parsed(lines, line[first], first, count, exact, leaf, buffers.mixed(masked + np.repeat(leaf, count)), field)
+    field = np.zeros(len(token), bool)
+    field[np.searchsorted(words.starts, np.flatnonzero(_DIGIT[texts.data]), "right") - 1] = True
+    begins = np.searchsorted(words.starts, lines.starts)
+    counts = np.diff(np.append(begins, len(token)))
+    at = np.flatnonzero(counts)
+    first, count = begins[at], counts[at]
+    place = (np.arange(1, len(token) + 1) - np.repeat(first, count)).astype(np.uint64) * _STEP
+    masked = buffers.mixed(np.where(field, _WILDCARD, token) + place)
+    second = np.where(count > 1, masked[first + (count > 1)], 0).astype(np.uint64)
+    leaf = buffers.mixed(masked[first] + second + count.astype(np.uint64) * _STEP + _LEAF)
+    return Parsed(lines, at, first, count, leaf, token, place, masked, field)
 
 
 _NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -105,15 +127,15 @@ def _lines_and_leaves(texts: buffers.Texts) -> tuple[np.ndarray, np.ndarray]:
     p = parsed(texts)
     if p is None:
         return _NONE
-    return np.concatenate([p.exact, p.leaf[p.long()]]), np.concatenate([p.rows(), p.rows()[p.long()]])
+    return np.concatenate([p.exact(), p.leaf[p.long()]]), np.concatenate([p.rows(), p.rows()[p.long()]])
 
 
 def _tokens(texts: buffers.Texts, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p = parsed(texts)
     if p is None:
         return _NONE
-    wanted = np.repeat(p.long() & shards.looked_up(shared, p.leaf)[0], p.count) & ~p.field
-    return p.place[wanted], np.repeat(p.rows(), p.count)[wanted]
+    line, keys = p.constants_of(p.long() & shards.looked_up(shared, p.leaf)[0])
+    return keys, p.rows()[line]
 
 
 def _templates(texts: buffers.Texts, constant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +155,7 @@ def _later(p: Parsed, ids: np.ndarray, names: np.ndarray, docs: np.ndarray, leas
         return hit
 
     template, n, enough = p.templates(names)
-    exact = recurs(p.exact, np.where(p.count >= LONG, LONG_DOCS, np.where(p.long(), FEW_DOCS, short_docs)))
+    exact = recurs(p.exact(), np.where(p.count >= LONG, LONG_DOCS, np.where(p.long(), FEW_DOCS, short_docs)))
     return exact | (enough & recurs(template, np.where(n >= LONG, LONG_DOCS, FEW_DOCS)))
 
 
