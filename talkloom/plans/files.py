@@ -33,8 +33,8 @@ SHOT = ("a long line", "a line")
 TASK = "Write the answer."
 
 
-def dialogues_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialogue documents in both shapes, written as a file each and read back in source order."""
+def dialogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, part and value: the examples of some turns as one JSON document, in both shapes."""
     part = F.call_function("div", F.col("turn"), F.lit(DOCUMENT_TURNS))
     example = F.struct("turn", "example_id", F.struct("prompt", "answer").alias("example"))
     documents = (
@@ -45,11 +45,13 @@ def dialogues_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_id = F.map_from_entries(F.transform("e", lambda x: F.struct(x["example_id"], x["example"])))
     as_map = F.to_json(F.struct("system", by_id.alias("examples")))
     as_array = F.to_json(F.struct("system", F.col("e.example").alias("examples")))
+    return documents.select("conv_id", "part", F.when(F.col("conv_id") % 2 == 0, as_map).otherwise(as_array).alias("value"))
+
+
+def dialogues_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dialogue documents in both shapes, written as a file each and read back in source order."""
     folder = session.shared_dir(spark)
-    documents.select(
-        F.concat_ws("-", "conv_id", "part").alias("doc"),
-        F.when(F.col("conv_id") % 2 == 0, as_map).otherwise(as_array).alias("value"),
-    ).write.partitionBy("doc").text(folder)
+    dialogue_documents(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("doc"), "value").write.partitionBy("doc").text(folder)
     return dialogues.read_dialogues(spark, folder).select(
         F.regexp_extract("file", r"doc=(-?\d+)-", 1).cast("bigint").alias("conv_id"),
         "system",

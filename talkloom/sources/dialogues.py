@@ -21,7 +21,20 @@ def read_dialogues(spark: SparkSession, path: str, system: str | None = None) ->
     examples in neither form is an error. Of examples with the same id the last one counts, in the
     place of the first.
     """
-    raw = session.prepare(spark).read.text(path, wholetext=True).select(
+    return _examples_of(session.prepare(spark).read.text(path, wholetext=True), system)
+
+
+def read_dialogue_lines(spark: SparkSession, path: str, system: str | None = None) -> DataFrame:
+    """S1, one dialogue document a line and any number of them in a file: files are split like any text.
+
+    Columns and rules are those of read_dialogues; `file` is the file that a document stands in. Empty lines are no documents.
+    """
+    lines = session.prepare(spark).read.text(path)
+    return _examples_of(lines.filter(F.trim("value") != ""), system)
+
+
+def _examples_of(documents: DataFrame, system: str | None) -> DataFrame:
+    raw = documents.select(
         F.col("_metadata.file_path").alias("file"),
         F.from_json("value", schemas.DIALOG_MAP).alias("m"),
         F.from_json("value", schemas.DIALOG_ARRAY).alias("a"),

@@ -97,3 +97,14 @@ def test_report(spark, tmp_path):
     summary = spark.read.parquet(str(tmp_path / "r" / "summary")).collect()
     assert {(r.suite, r.passed, r.total, r.accuracy) for r in summary} == {("a", 1, 2, 0.5), ("b", 0, 1, 0.0)}
     assert spark.read.parquet(str(tmp_path / "r" / "results")).count() == 3
+
+
+def test_documents_as_lines_of_one_file(spark, tmp_path):
+    one = example("u")
+    lines = [json.dumps({"system": "s", "examples": {"b": one, "a": one}}), "", " ", json.dumps({"examples": [one, one]})]
+    (tmp_path / "part.txt").write_text("\n".join(lines))
+    got = D.read_dialogue_lines(spark, str(tmp_path), "none").collect()
+    assert [(r.system, r.pos, r.example_id, r.prompt.UserInput) for r in got] == [("s", 0, "b", "u"), ("s", 1, "a", "u"), ("none", 0, "0", "u"), ("none", 1, "1", "u")]
+    (tmp_path / "part.txt").write_text('{"system": "s"}')
+    with pytest.raises(Exception, match="no examples in"):
+        D.read_dialogue_lines(spark, str(tmp_path)).collect()

@@ -4,7 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
-from talkloom.plans import evaluation, files, messages, records, tokens
+from talkloom.plans import evaluation, files, jobs, messages, records, tokens
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
@@ -29,7 +29,7 @@ def test_entry(spark):
 
 
 def test_every_query_of_the_library_has_sql():
-    own = [*records.QUERIES, *tokens.QUERIES, *evaluation.QUERIES, *messages.QUERIES, *files.QUERIES]
+    own = [*records.QUERIES, *tokens.QUERIES, *evaluation.QUERIES, *messages.QUERIES, *files.QUERIES, *jobs.QUERIES]
     assert set(own) <= SQL.keys() <= QUERIES.keys()
 
 
