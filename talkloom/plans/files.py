@@ -23,8 +23,8 @@ from talkloom.streaming.busy_state import busy_state
 DOCUMENT_TURNS = 256
 #: Parts in which the requests of stream_busy arrive.
 ARRIVALS = 4
-#: Keys that the one endpoint of stream_busy_state is cut into.
-CELLS = 4
+#: Keys that the one endpoint of stream_busy_state is cut into at least, and requests of a key at most, on average.
+CELLS, CELL_ROWS = 4, 100_000
 #: Tasks that read a document at least, if their blocks hold between LEAST_BLOCK and MOST_BLOCK bytes; and its system text.
 DOCUMENT_TASKS, LEAST_BLOCK, MOST_BLOCK = 16, 1 << 16, 128 << 20
 DOCUMENT_HEAD = 'say "yes", or \\ "examples": ['
@@ -198,7 +198,8 @@ def stream_busy_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same flags from a stream in shuffled order: every other request comes one part late, the latest first."""
     requests = busy_requests(spark, sf_dir)
     shares = [i / ARRIVALS for i in range(ARRIVALS + 1)]
-    cuts = requests.agg(F.percentile_approx("start_us", shares)).first()[0] or [0]
+    cuts, number_of = requests.agg(F.percentile_approx("start_us", shares), F.count(F.lit(1))).first()
+    cuts, cells = cuts or [0], max(CELLS, -(-number_of // CELL_ROWS))
     part = F.size(F.filter(F.lit(cuts[1:-1]), lambda c: c <= F.col("start_us"))) + F.pmod(F.xxhash64("event_id"), F.lit(2))
     # a request can come behind one that starts up to two parts after it
     delay_us = 2 * max([b - a for a, b in zip(cuts, cuts[1:], strict=False)] or [0]) + 1_000_000
@@ -207,7 +208,7 @@ def stream_busy_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         arrived = spark.readStream.schema(requests.select(*columns).schema).parquet(folder)
-        flagged = busy_state(arrived, "endpoint", "user_id", "start_us", "finish_us", "event_id", f"{delay_us} microseconds", CELLS)
+        flagged = busy_state(arrived, "endpoint", "user_id", "start_us", "finish_us", "event_id", f"{delay_us} microseconds", cells)
         sink = flagged.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True)
         sink.start(out).awaitTermination()
 

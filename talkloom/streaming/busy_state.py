@@ -40,7 +40,9 @@ def busy_state(
 
     `cells` (a number, or an expression over the row that is the same for all rows of an endpoint) cuts the users of a hot endpoint
     into that many keys. A cell gets its own requests whole; of the others it gets outlines, start and finish only, of those that
-    outlast all earlier ones read with them. What an earlier request outlasts cannot change any flag.
+    outlast all earlier ones read with them. What an earlier request outlasts cannot change any flag. While they wait, outlines that
+    run into one another are one: whoever comes in between is busy either way. Spark hands the state of a key to Python with every
+    Arrow batch of its rows, so `cells` must grow with an endpoint's requests: some 100,000 for each cell.
 
     A row without a start is flagged false at once and not counted, one without a finish does not run. Rows behind the
     watermark are left out, and counted by the query's progress as dropped by watermark. Other columns are not kept.
@@ -84,7 +86,7 @@ def _with_outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _packed(rows: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(rows, preserve_index=False)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -95,6 +97,21 @@ def _unpacked(raw: bytes | None, columns: list[str]) -> pd.DataFrame:
     return pa.ipc.open_stream(raw).read_all().to_pandas()
 
 
+def _spells(rows: pd.DataFrame) -> pd.DataFrame:
+    """The waiting rows, with outlines that run into one another as one, from the first start to the latest finish.
+
+    The watermark has let all of them through, so none can still be left out. An outline that starts where the others end begins a new one.
+    """
+    outline = (rows["kind"] == _OUTLINE).to_numpy(bool)
+    if outline.sum() < 2:
+        return rows
+    waiting = rows[outline].astype({"start": "int64", "finish": "int64"}).sort_values(["start", "tie"])
+    latest = waiting["finish"].cummax().to_numpy()
+    first = np.append(True, waiting["start"].to_numpy()[1:] >= latest[:-1])
+    last = np.append(np.flatnonzero(first)[1:], len(waiting)) - 1
+    return pd.concat([rows[~outline], waiting[first].assign(finish=latest[last])])
+
+
 def settle(rows: pd.DataFrame, running: pd.Series, until: int) -> tuple[np.ndarray, pd.Series, int]:
     """Flags of rows in order of start and tie, given the latest finish of each user before them and of all; both as they are after them."""
     start, finish = rows["start"].to_numpy(np.int64), rows["finish"].fillna(_NEVER).to_numpy(np.int64)
@@ -132,7 +149,7 @@ def _flag(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iter
     waits += [until] if until > passed else []
     if waits:
         users = pd.DataFrame({"user": running.index, "until": running.to_numpy(np.int64)})
-        state.update((_packed(rows), _packed(users), until))
+        state.update((_packed(_spells(rows)), _packed(users), until))
         state.setTimeoutTimestamp(max(min(waits) // 1000, state.getCurrentWatermarkMs()) + 1)
     elif state.exists:
         state.remove()

@@ -1,11 +1,13 @@
 """Event-time state against the batch operator: any order within the delay, hot endpoints in cells, bounded state."""
 
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from talkloom.operators.busy import busy_at_arrival
+from talkloom.plans import files, messages
 from talkloom.streaming import busy_state as S
 
 SCHEMA = "endpoint string, user string, start long, finish long, id long"
@@ -65,3 +67,33 @@ def test_late_and_timeless_rows_and_bounded_state(spark, tmp_path):
     got = {r["id"]: r["busy"] for r in spark.read.parquet(out).collect()}
     assert set(got) - {504} == {*range(400), 501, 502, 503}
     assert not got[0] and all(got[i] for i in range(1, 400)) and not got[501] and not got[503]
+
+
+def test_outlines_wait_as_spells(spark, tmp_path):
+    """Requests that run into one another are one outline in the state of the other cells; gaps stay."""
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    # one gap, with arrivals before, at and after the last finish
+    starts = [1000 + i + 30 * (i >= 200) for i in range(400)]
+    rows = [("a", f"u{i % 40}", s * SECOND, (s + 10) * SECOND, i) for i, s in enumerate(starts)]
+    rows += [("a", "x", s * SECOND, None, 400 + j) for j, s in enumerate([1101, 1208, 1209, 1210])]
+    run(spark, folder, out, checkpoint, [rows], 4, "3000 seconds")
+    state = spark.read.format("statestore").load(checkpoint).select("value.groupState.*").collect()
+    waiting = [S._unpacked(r["pending"], S._FIELDS) for r in state]
+    assert sum((w["kind"] == S._ROW).sum() for w in waiting) == 404
+    assert all((w["kind"] == S._OUTLINE).sum() <= 20 for w in waiting)
+    run(spark, folder, out, checkpoint, [[(None, "clock", 9000 * SECOND, None, 999)]], 4, "3000 seconds")
+    got = spark.read.parquet(out).filter("id < 999").select("id", "busy").collect()
+    want = busy_at_arrival(spark.createDataFrame(rows, SCHEMA), "endpoint", "user", "start", "finish", "id").select("id", "busy").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_cells_of_the_query_grow_with_its_requests(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(files, "busy_state", lambda *args: asked.append(args[-1]) or S.busy_state(*args))
+    monkeypatch.setattr(files, "CELL_ROWS", 20)
+    columns = "event_id long, user_id long, ts timestamp_ntz, value double"
+    rows = [(i, i % 7, datetime.datetime(2024, 1, 1, 0, i // 4, i % 4), float(i % 50)) for i in range(190)]
+    spark.createDataFrame(rows, columns).write.parquet(str(tmp_path / "events.parquet"))
+    got = files.stream_busy_state(spark, str(tmp_path))
+    assert set(asked) == {10}
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, messages.busy_at_arrival(spark, str(tmp_path)).collect()))
