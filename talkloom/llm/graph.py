@@ -1,14 +1,18 @@
 """Approximate nearest neighbours: a navigable small-world graph with levels for each shard, merged results.
 
-Nearness is the largest inner product. Vectors get one more component, the root of what their squared length lacks to the longest of
-the shard, which makes it the smallest distance (queries get zero there). Equal vectors are one node: their ids are kept, and only as
-many of the smallest as an answer can hold enter it.
+Nearness is the largest inner product. A graph is built by distance, for which vectors get one more component, the root of what their squared
+length lacks to the longest of the shard: with it, the largest inner product is the smallest distance. The component is kept as what it lacks
+to that longest length, so that one long vector does not drown the others, and a shard is scaled to components up to one. Searches
+compare inner products. Equal vectors are one node: their ids are kept, and only as many of the smallest as an answer can hold enter it.
 
 A shard's graph is built in batches that double: the nodes of a batch search the graph of the nodes before, side by side, and are joined to
 close and, among these, spread neighbours both ways; nodes of full lists keep the closest. Levels follow from a hash, each holding a share of
 the one below. The graph is flat arrays, a row of neighbours for each node and level; it is written with its vectors, one row for
 each shard, to the shared folder. A search walks down the levels and keeps the `breadth` best nodes on the lowest, for a block of queries
-side by side. Every pair of shard and block returns k rows a query, scored in double precision on the original vectors, and all are merged.
+side by side. It also enters by the best of some doors, the longest vectors and ones from all over the shard, as walks may not lead
+from one dense group to another. How broad a search must be depends on the vectors: every block first has some of its queries compared with
+the whole shard, and doubles `breadth` until these get RECALL of their k nearest; doors grow alike, up to all nodes.
+Every pair of shard and block returns k rows a query, scored in double precision on the original vectors, and all are merged.
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of unequal length count as filled up with
 zeros. A query's own vec_id is never an answer. Extra columns are ignored. An empty table gives no rows.
@@ -31,40 +35,53 @@ DEGREE, BUILD_BREADTH, BREADTH = 24, 64, 96
 LEVEL_SHARE = 16
 SHARD_ROWS, BLOCK_ROWS = 8192, 2048
 _BATCH = 1024
+#: Queries of a block that are compared with the whole shard, and the share of their nearest that a search must find.
+SAMPLE, RECALL = 32, 0.97
 
 
-def _walk(x: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarray, breadth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first search for all queries side by side: nodes and squared distances less |query|^2, nearest first, -1 where there are fewer."""
+def _walk(x: np.ndarray, norms: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarray, breadth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best-first search for all queries side by side: nodes and norms less twice the inner product, least first, -1 where there are fewer.
+
+    With squared lengths as norms that is the squared distance less |query|^2. A start of -1 is none. Broad searches take several nodes a step.
+    """
     n = len(queries)
-    norms = (x * x).sum(axis=1)
     breadth = max(breadth, start.shape[1])
+    take = max(1, breadth // 96)
     nodes = np.full((n, breadth), -1, np.int64)
     apart = np.full((n, breadth), np.inf, np.float32)
     done = np.ones((n, breadth), bool)
-    seen = np.zeros((n, len(x)), bool)
+    # the last column is for -1, which is no node
+    seen = np.zeros((n, len(x) + 1), bool)
+    seen[:, -1] = True
     every = np.arange(n)[:, None]
     s = start.shape[1]
     nodes[:, :s] = start
-    apart[:, :s] = norms[start] - 2 * np.einsum("qsd,qd->qs", x[start], queries)
-    done[:, :s] = False
+    apart[:, :s] = np.where(start < 0, np.inf, norms[start] - 2 * np.matmul(x[start], queries[:, :, None])[:, :, 0])
+    done[:, :s] = start < 0
     seen[every, start] = True
     live = np.arange(n)
     while len(live):
         near = np.where(done[live], np.inf, apart[live])
-        pick = near.argmin(axis=1)
-        some = np.isfinite(near[np.arange(len(live)), pick])
-        live, pick = live[some], pick[some]
+        pick = near.argmin(axis=1)[:, None] if take == 1 else np.argpartition(near, take - 1, axis=1)[:, :take]
+        some = np.isfinite(np.take_along_axis(near, pick, axis=1))
+        going = some.any(axis=1)
+        live, pick, some = live[going], pick[going], some[going]
         if not len(live):
             break
-        done[live, pick] = True
-        fresh = links[nodes[live, pick]]
-        known = (fresh < 0) | seen[live[:, None], fresh]
-        seen[live[:, None], np.maximum(fresh, 0)] |= fresh >= 0
+        row = np.arange(len(live))[:, None]
+        done[live[:, None], pick] = True
+        fresh = np.where(some[:, :, None], links[nodes[live[:, None], pick]], -1).reshape(len(live), -1)
+        known = seen[live[:, None], fresh]
+        # a neighbour that comes twice counts once
+        fresh = np.where(known, -1, fresh)
+        fresh.sort(axis=1)
+        known = fresh < 0
+        known[:, 1:] |= fresh[:, 1:] == fresh[:, :-1]
+        seen[live[:, None], fresh] = True
         dist = norms[fresh] - 2 * np.matmul(x[fresh], queries[live][:, :, None])[:, :, 0]
         dist[known] = np.inf
         both = np.concatenate([apart[live], dist], axis=1)
         keep = np.argpartition(both, breadth - 1, axis=1)[:, :breadth]
-        row = np.arange(len(live))[:, None]
         nodes[live] = np.concatenate([nodes[live], fresh], axis=1)[row, keep]
         apart[live] = both[row, keep]
         done[live] = np.concatenate([done[live], known], axis=1)[row, keep]
@@ -132,8 +149,8 @@ def build(x: np.ndarray, degree: int = DEGREE, breadth: int = BUILD_BREADTH) ->
         done, size = 1, 8
         while done < len(members):
             fresh = members[done : done + size]
-            start = _descend(x, levels, x[fresh], np.zeros(len(fresh), np.int64)) if levels else np.zeros((len(fresh), 1), np.int64)
-            nodes, apart = _walk(x, links, x[fresh], start, breadth)
+            start = _descend(x, norms, levels, x[fresh], np.zeros(len(fresh), np.int64)) if levels else np.zeros((len(fresh), 1), np.int64)
+            nodes, apart = _walk(x, norms, links, x[fresh], start, breadth)
             # nodes of one batch see each other too
             among = norms[fresh][None, :] - 2 * (x[fresh] @ x[fresh].T)
             np.fill_diagonal(among, np.inf)
@@ -154,11 +171,11 @@ def build(x: np.ndarray, degree: int = DEGREE, breadth: int = BUILD_BREADTH) ->
     return levels
 
 
-def _descend(x: np.ndarray, levels: list[np.ndarray], queries: np.ndarray, start: np.ndarray) -> np.ndarray:
+def _descend(x: np.ndarray, norms: np.ndarray, levels: list[np.ndarray], queries: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Nearest few nodes found on the lowest of the given levels, to enter the next one by."""
     at = start[:, None]
     for links in reversed(levels):
-        nodes, _ = _walk(x, links, queries, at, 8)
+        nodes, _ = _walk(x, norms, links, queries, at, 8)
         at = np.where(nodes[:, :4] >= 0, nodes[:, :4], nodes[:, :1])
         at = np.where(at >= 0, at, 0)
         # one node once: a repeated start would fill the list twice
@@ -169,19 +186,48 @@ def _descend(x: np.ndarray, levels: list[np.ndarray], queries: np.ndarray, start
 
 
 def find(x: np.ndarray, levels: list[np.ndarray], queries: np.ndarray, breadth: int = BREADTH) -> np.ndarray:
-    """Nodes nearest to each query, -1 where there are fewer, in no certain order of equals."""
+    """Nodes of largest inner product with each query, -1 where there are fewer, in no certain order of equals. The last component counts in no search."""
     out = []
+    norms = np.zeros(len(x), np.float32)
+    doors = np.unique(np.concatenate([np.argsort(-(x[:, :-1] ** 2).sum(axis=1), kind="stable")[:breadth], np.linspace(0, len(x) - 1, min(breadth, len(x)), dtype=np.int64)]))
     for low in range(0, len(queries), 256):
         part = queries[low : low + 256]
-        start = _descend(x, levels[1:], part, np.zeros(len(part), np.int64)) if len(levels) > 1 else np.zeros((len(part), 1), np.int64)
-        out.append(_walk(x, levels[0], part, start, breadth)[0])
+        start = _descend(x, norms, levels[1:], part, np.zeros(len(part), np.int64)) if len(levels) > 1 else np.zeros((len(part), 1), np.int64)
+        best = min(len(doors), max(8, breadth // 4))
+        near = doors[np.argpartition(-(part @ x[doors].T), best - 1, axis=1)[:, :best]]
+        start = np.sort(np.concatenate([start, near], axis=1), axis=1)
+        start[:, 1:][start[:, 1:] == start[:, :-1]] = -1
+        out.append(_walk(x, norms, levels[0], part, start, breadth)[0][:, :breadth])
     return np.concatenate(out) if out else np.zeros((0, breadth), np.int64)
 
 
+def breadth_for(x: np.ndarray, levels: list[np.ndarray], queries: np.ndarray, k: int, breadth: int = BREADTH, recall: float = RECALL, sample: int = SAMPLE) -> int:
+    """`breadth` doubled until some of the queries, compared with all of x, get the share `recall` of their k nearest."""
+    some = queries[np.unique(np.linspace(0, len(queries) - 1, min(sample, len(queries)), dtype=np.int64))]
+    products = some @ x.T
+    k = min(k, len(x))
+    least = np.partition(products, len(x) - k, axis=1)[:, len(x) - k, None]
+    while breadth < len(x):
+        nodes = find(x, levels, some, breadth)
+        found = (nodes >= 0) & (np.take_along_axis(products, np.maximum(nodes, 0), axis=1) >= least)
+        if np.minimum(found.sum(axis=1), k).mean() >= recall * k:
+            break
+        breadth *= 2
+    return breadth
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """x with components up to one, which changes no order of inner products and fits single precision."""
+    return x / (np.abs(x).max(initial=0) or 1.0)
+
+
 def lengthened(x: np.ndarray) -> np.ndarray:
-    """One more component that makes all rows as long as the longest."""
+    """x scaled, and one more component that makes all rows as long as the longest, as what it lacks to that length."""
+    x = scaled(x)
     squares = (x * x).sum(axis=1)
-    return np.column_stack([x, np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))]).astype(np.float32)
+    longest = squares.max(initial=0)
+    lacking = squares / (np.sqrt(longest) + np.sqrt(np.maximum(longest - squares, 0)))
+    return np.column_stack([x, lacking]).astype(np.float32)
 
 
 _GRAPH = "shard long, ids array<array<long>>, vectors array<array<double>>, degrees array<int>, links array<int>"
@@ -237,7 +283,8 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = K, breadth: int = BRE
             for degree in graph.column("degrees")[0].as_py():
                 levels.append(flat[at : at + degree * len(x)].reshape(len(x), degree))
                 at += degree * len(x)
-            found = find(lengthened(x), levels, np.column_stack([q, np.zeros(len(q))]).astype(np.float32), max(breadth, k + 1))
+            nodes, asked = lengthened(x), np.column_stack([scaled(q), np.zeros(len(q))]).astype(np.float32)
+            found = find(nodes, levels, asked, breadth_for(nodes, levels, asked, k + 1, max(breadth, k + 1)))
             for i in range(len(q)):
                 near = found[i][found[i] >= 0]
                 score = x[near] @ q[i]

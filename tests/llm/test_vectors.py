@@ -60,6 +60,27 @@ def test_graph_search_on_hard_rows(spark, shard_rows):
             assert score == pytest.approx(float(own[i] @ own[j]), rel=1e-12)
 
 
+@pytest.mark.parametrize("kind", ["plain", "one long vector", "lengths", "clusters", "large"])
+def test_graph_search_on_other_rows(spark, kind):
+    """No neighbours but those of chance, lengths of any spread, dense groups, components beyond single precision."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2500, 64))
+    if kind == "one long vector":
+        x[7] *= 1e6
+    if kind == "lengths":
+        x *= np.exp(rng.normal(size=(2500, 1)))
+    if kind == "clusters":
+        x = rng.normal(size=(40, 64))[rng.integers(0, 40, 2500)] + 1e-4 * x
+    if kind == "large":
+        x *= 1e120
+    rows = list(enumerate(x.tolist()))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(graph.nearest(frame, F.col("vec_id") % 20 == 0))
+    want = plain_top(rows, set(range(0, 2500, 20)), 20, zero=False)
+    assert all(len(got[i]) == len(want[i]) for i in want)
+    assert recall(got, want) > 0.95
+
+
 def test_recall_of_the_query(spark):
     sf_dir = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
