@@ -12,8 +12,9 @@ least `min_chars` letters outside base matches, however far from the entity, tha
 (`share`) hold it. A term that reveals at least `remove` of some IC(e) is removed, one that reveals at least `generalise` of it is generalised, at every
 occurrence in every document, also where the entity is not spelled out; both are spans of kind "term", and base spans stay.
 
-Near copies say nothing new, so all counts are over originals: of each document four minima of hashed shingles of five words are taken, and a document that shares
-three of them with documents of smaller rank is a copy (similarity 0.8: 0.82 of the copies, 0.95: 0.99; similarity 0.2: 0.03). Copies are sanitised like all others.
+Near copies repeat each other, so all counts are over originals together with their copies: of each document four minima of hashed shingles of five words are taken, and a
+document that shares three of them with documents of smaller rank is a copy (similarity 0.8: 0.82 of the copies, 0.95: 0.99; similarity 0.2: 0.03). A copy goes with the
+document it shares most with. What stands in any of them counts, once: all documents are read for entities, pairs and terms. Copies are sanitised like all others.
 
 Null text is empty and has no spans. Rows of equal doc_id are told apart by their texts; rows equal in both get equal spans. Offsets are code points, ends
 exclusive. Extra columns are ignored. An empty table gives an empty result.
@@ -129,12 +130,36 @@ def minima(text: Column, shingle: int = SHINGLE) -> Column:
     return _once(hashes, lambda hs: F.array(F.array_min(hs), F.array_max(hs), F.array_min(flipped(hs)), F.array_max(flipped(hs))))
 
 
+def _marks(rows: DataFrame) -> DataFrame:
+    return written(rows.select("_doc", F.posexplode(minima(F.col("text"))).alias("nth", "mark")).distinct())
+
+
+def _firsts(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("nth", "mark").agg(F.min("_doc").alias("first"))
+
+
+def _copies(marks: DataFrame, shared: int) -> DataFrame:
+    least = _firsts(marks).groupBy(F.col("first").alias("_doc")).agg(F.count(F.lit(1)).alias("own")).filter(F.col("own") > 4 - shared)
+    return marks.filter("nth = 0").select("_doc").join(least, "_doc", "left_anti").distinct()
+
+
 def copies(rows: DataFrame, shared: int = SHARED) -> DataFrame:
     """_doc of the documents that share at least `shared` of their four minima with documents of smaller _doc."""
-    marks = written(rows.select("_doc", F.posexplode(minima(F.col("text"))).alias("nth", "mark")))
-    firsts = marks.groupBy("nth", "mark").agg(F.min("_doc").alias("_doc"))
-    least = firsts.groupBy("_doc").agg(F.count(F.lit(1)).alias("own")).filter(F.col("own") > 4 - shared)
-    return marks.filter("nth = 0").select("_doc").join(least, "_doc", "left_anti").distinct()
+    return _copies(_marks(rows), shared)
+
+
+def originals(rows: DataFrame, shared: int = SHARED) -> DataFrame:
+    """_doc, original: for every copy the document it goes with, which is none; copies of copies go with the same one."""
+    marks = _marks(rows)
+    known = written(_copies(marks, shared))
+    owned = marks.join(known, "_doc").join(_firsts(marks), ["nth", "mark"]).filter("first < _doc").groupBy("_doc", "first").agg(F.count(F.lit(1)).alias("n"))
+    gone = written(owned.groupBy("_doc").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("original")))
+    while True:
+        # a copy goes with a document of smaller _doc, so this ends; each turn halves what lies between
+        beyond = gone.select(F.col("_doc").alias("original"), F.col("original").alias("beyond"))
+        if gone.join(beyond, "original", "left_semi").isEmpty():
+            return gone
+        gone = written(gone.join(beyond, "original", "left").select("_doc", F.coalesce("beyond", "original").alias("original")))
 
 
 def _at_least(hits: Column, of: Column, z: float) -> Column:
@@ -166,18 +191,20 @@ def _occurrences(text: Column, base: Column, spelled: Column) -> Column:
 
 def disclosures(rows: DataFrame, min_chars: int = MIN_CHARS, support: int = SUPPORT, z: float = Z, share: float = SHARE) -> DataFrame:
     """entity, term, n_pair, n_term, n_entity, n, reveals (share of IC) of all supported pairs. rows: _doc, text, base."""
-    known = written(copies(rows))
-    held = written(rows.filter(F.size("base") > 0).join(known, "_doc", "left_anti").select("_doc", "text", "base"))
-    of = written(_entities(held))
-    entities = written(of.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support))
+    gone = written(originals(rows))
+    place = F.coalesce("original", "_doc").alias("place")
+    held = written(rows.filter(F.size("base") > 0).join(gone, "_doc", "left").select("_doc", place, "text", "base"))
+    of = written(_entities(held).join(held.select("_doc", "place").distinct(), "_doc"))
+    entities = written(of.select("entity", "place").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support))
     common = of.join(few(entities.select("entity")), "entity")
     outside = F.aggregate("base", F.col("text"), lambda acc, s: F.replace(acc, s["value"], F.lit(" ")))
     words = held.select("_doc", F.explode(F.array_distinct(F.split(F.lower(outside), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars).distinct()
-    pairs = written(common.join(words, "_doc").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support))
-    said = rows.select("_doc", "text").join(few(known), "_doc", "left_anti")
-    said = said.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars)
-    terms = said.join(few(written(pairs.select("term").distinct())), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = rows.join(few(known), "_doc", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+    met = common.join(words, "_doc").select("entity", "term", "place").distinct()
+    pairs = written(met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support))
+    said = rows.select("_doc", F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars)
+    said = said.join(few(written(pairs.select("term").distinct())), "term", "left_semi").join(few(gone), "_doc", "left").select("term", place).distinct()
+    terms = said.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    total = rows.select("_doc").distinct().join(few(gone), "_doc", "left_anti").agg(F.count(F.lit(1)).alias("n"))
     met = pairs.join(entities, "entity").join(terms, "term").withColumn("n", total.scalar()).filter(F.col("n_entity") < F.col("n"))
     met = met.filter(F.col("n_pair") >= share * F.col("n_term"))
     rare = F.col("n") / F.col("n_entity")

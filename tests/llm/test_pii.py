@@ -173,3 +173,24 @@ def test_revised_copies_are_counted_once(spark, sf_dir):
     assert pii.copies(rows).count() >= 0.95 * 4 * docs.count()
     touched = pii.find(many).filter(F.size("terms") > 0).count()
     assert touched <= 0.02 * many.count()
+
+
+def test_what_stands_only_in_copies_counts(spark):
+    """Near copies count once, but for all that any of them holds."""
+    rng = random.Random(4)
+    text = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    docs = [(i, text(20)) for i in range(300)]
+    for i in range(8):
+        body = text(400)
+        docs += [(1000 + 10 * i + j, f"{body} {text(1)}") for j in range(6)]
+        docs += [(1000 + 10 * i + 9, f"{body} Walrusking wrote from boss@corp.example.com")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = frame.select("doc_id", F.xxhash64("doc_id", "text").alias("_doc"), "text", pii.base_spans(F.col("text")).alias("base"))
+    gone = {r["_doc"]: r["original"] for r in pii.originals(rows).collect()}
+    ids = {r["_doc"]: r["doc_id"] for r in rows.collect()}
+    assert gone.keys() == {r["_doc"] for r in pii.copies(rows).collect()} and len(gone) == 48
+    assert all(o not in gone and ids[o] // 10 == ids[d] // 10 for d, o in gone.items())
+    got = {(r["entity"], r["term"]): (r["n_pair"], r["n_term"], r["n_entity"], r["n"]) for r in pii.disclosures(rows).collect()}
+    assert got["email:boss@corp.example.com", "walrusking"] == (8, 8, 8, 308)
+    found = {r["doc_id"]: {r["text"][t["start"] : t["end"]] for t in r["terms"]} for r in pii.find(frame).collect()}
+    assert all(("Walrusking" in said) == (d >= 1000 and d % 10 == 9) for d, said in found.items())
