@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkloom import session
 from talkloom.operators import admission
@@ -49,11 +50,17 @@ def dialogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dialogues_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialogue documents in both shapes, written as a file each and read back in source order."""
+    """Dialogue documents in both shapes, written as a file each and read back in source order.
+
+    A document names its conversation itself, so that its file needs no folder of its own: each task writes a folder of files, and puts them
+    in their place when it ends.
+    """
     folder = session.shared_dir(spark)
-    dialogue_documents(spark, sf_dir).select(F.concat_ws("-", "conv_id", "part").alias("doc"), "value").write.partitionBy("doc").text(folder)
-    return dialogues.read_dialogues(spark, folder).select(
-        F.regexp_extract("file", r"doc=(-?\d+)-", 1).cast("bigint").alias("conv_id"),
+    named = F.concat(F.lit('{"conv_id":'), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.lit(","), F.substr("value", F.lit(2)))
+    files = dialogue_documents(spark, sf_dir).select(F.spark_partition_id().alias("task"), named.alias("value"))
+    files.write.partitionBy("task").options(**{"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}).text(folder)
+    return dialogues.read_dialogues(spark, folder, fields=T.StructType([T.StructField("conv_id", T.LongType())])).select(
+        "conv_id",
         "system",
         F.col("pos").cast("bigint").alias("pos"),
         "example_id",

@@ -13,15 +13,15 @@ from talkloom import schemas, session
 from talkloom.functions import prompts
 
 
-def read_dialogues(spark: SparkSession, path: str, system: str | None = None) -> DataFrame:
+def read_dialogues(spark: SparkSession, path: str, system: str | None = None, fields: T.StructType | None = None) -> DataFrame:
     """S1. Nested dialogue files, `examples` an object or an array, in source order.
 
     One file is one JSON document and is read by one task; for a large corpus keep one example per
     line and use read_examples. `system` stands in for a missing system text. A document that has
     examples in neither form is an error. Of examples with the same id the last one counts, in the
-    place of the first.
+    place of the first. `fields` names what else of the top of a document comes as columns.
     """
-    return _examples_of(session.prepare(spark).read.text(path, wholetext=True), system)
+    return _examples_of(session.prepare(spark).read.text(path, wholetext=True), system, fields)
 
 
 def read_dialogue_lines(spark: SparkSession, path: str, system: str | None = None) -> DataFrame:
@@ -33,11 +33,12 @@ def read_dialogue_lines(spark: SparkSession, path: str, system: str | None = Non
     return _examples_of(lines.filter(F.trim("value") != ""), system)
 
 
-def _examples_of(documents: DataFrame, system: str | None) -> DataFrame:
+def _examples_of(documents: DataFrame, system: str | None, fields: T.StructType | None = None) -> DataFrame:
+    more = [*fields] if fields else []
     raw = documents.select(
         F.col("_metadata.file_path").alias("file"),
-        F.from_json("value", schemas.DIALOG_MAP).alias("m"),
-        F.from_json("value", schemas.DIALOG_ARRAY).alias("a"),
+        F.from_json("value", T.StructType([*schemas.DIALOG_MAP, *more])).alias("m"),
+        F.from_json("value", T.StructType([*schemas.DIALOG_ARRAY, *more])).alias("a"),
         F.col("value"),
     )
     bad = F.raise_error(F.concat(F.lit("no examples in "), F.col("file")))
@@ -46,8 +47,9 @@ def _examples_of(documents: DataFrame, system: str | None) -> DataFrame:
     numbered = F.transform("a.examples", lambda e, i: F.struct(i.cast("string").alias("key"), e.alias("value")))
     entries = F.coalesce(F.map_entries(by_id).cast(entry), numbered.cast(entry), bad.cast(entry))
     text = F.coalesce("m.system", "a.system", F.lit(system).cast("string"))
-    return raw.select("file", text.alias("system"), F.posexplode(entries).alias("pos", "e")).select(
-        "file", "system", "pos", F.col("e.key").alias("example_id"), "e.value.prompt", "e.value.answer"
+    own = [F.coalesce(F.col("m")[f.name], F.col("a")[f.name]).alias(f.name) for f in more]
+    return raw.select("file", *own, text.alias("system"), F.posexplode(entries).alias("pos", "e")).select(
+        "file", *[f.name for f in more], "system", "pos", F.col("e.key").alias("example_id"), "e.value.prompt", "e.value.answer"
     )
 
 

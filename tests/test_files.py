@@ -3,7 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import types as T
 
+from talkloom.plans import files
 from talkloom.sinks import tables
 from talkloom.sources import dialogues as D
 
@@ -108,3 +110,26 @@ def test_documents_as_lines_of_one_file(spark, tmp_path):
     (tmp_path / "part.txt").write_text('{"system": "s"}')
     with pytest.raises(Exception, match="no examples in"):
         D.read_dialogue_lines(spark, str(tmp_path)).collect()
+
+
+def test_fields_of_a_document(spark, tmp_path):
+    write(tmp_path / "map.json", {"n": -7, "system": "s", "examples": {"a": example("u")}})
+    write(tmp_path / "array.json", {"examples": [example("v")], "n": 8})
+    write(tmp_path / "none.json", {"examples": [example("w")]})
+    fields = T.StructType([T.StructField("n", T.LongType())])
+    got = D.read_dialogues(spark, str(tmp_path), "x", fields).collect()
+    assert {(r.n, r.system, r.example_id, r.prompt.UserInput) for r in got} == {(-7, "s", "a", "u"), (8, "x", "0", "v"), (None, "x", "0", "w")}
+
+
+def test_documents_are_files_without_folders_of_their_own(spark, tmp_path, monkeypatch):
+    turns = [(c - 20, t, role, f"{role} {c} {t}") for c in range(40) for t, role in enumerate(["system", "user", "assistant", "user", "assistant"])]
+    turns += [(5000, t, ["user", "assistant"][t % 2], f"long {t}") for t in range(600)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    monkeypatch.setattr(files.session, "shared_dir", lambda _: str(tmp_path / "out"))
+    got = files.dialogues_roundtrip(spark, str(tmp_path))
+    folders = [p for p in (tmp_path / "out").iterdir() if p.is_dir()]
+    assert len(list((tmp_path / "out").rglob("part-*.txt"))) == 43 and len(folders) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = got.select("conv_id", "pos", "example_id", "user_input", "message_text").collect()
+    want = {(c - 20, t // 2 - 1, f"{c - 20}-{t}" if c % 2 == 0 else str(t // 2 - 1), f"user {c} {t - 1}", f"assistant {c} {t}") for c in range(40) for t in (2, 4)}
+    want |= {(5000, (t % 256) // 2, f"5000-{t}", f"long {t - 1}", f"long {t}") for t in range(1, 600, 2)}
+    assert len(rows) == len(want) and set(map(tuple, rows)) == want
