@@ -15,7 +15,7 @@ the whole shard, and doubles `breadth` until these get RECALL of their k nearest
 Every pair of shard and block returns k rows a query, scored in double precision on the original vectors, and all are merged.
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of unequal length count as filled up with
-zeros. A query's own vec_id is never an answer. Extra columns are ignored. An empty table gives no rows.
+zeros. A query's own vec_id is never an answer, and rows that come twice ask and answer once. Extra columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -262,7 +262,7 @@ def index(table: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFra
 
 def search(graphs: DataFrame, queries: DataFrame, k: int = K, breadth: int = BREADTH, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score. queries: vec_id and embedding."""
-    queries = vectors.usable(queries, zero=False)
+    queries = vectors.usable(queries, zero=False).distinct()
     n_blocks = max(1, -(-queries.count() // block_rows))
     n_shards = graphs.agg(F.coalesce(F.max("shard"), F.lit(0)).alias("n")).first()["n"] + 1
     left = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
