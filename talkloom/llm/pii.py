@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkloom.llm.tables import few, written
+from talkloom.llm.tables import FEW_ROWS, few, written
 
 #: Fixed patterns of the base kinds, in the order of their output.
 PATTERNS = {
@@ -45,6 +45,8 @@ REMOVE, GENERALISE = 0.9, 0.6
 Z, SHARE = 3.0, 0.5
 #: Words of a shingle, and how many of the four minima a copy shares.
 SHINGLE, SHARED = 5, 3
+#: Documents with copies up to which their table, two numbers a row, is broadcast.
+COPY_ROWS = 1_000_000
 _FLIP = 0x5555555555555555
 
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
@@ -192,18 +194,22 @@ def _occurrences(text: Column, base: Column, spelled: Column) -> Column:
 def disclosures(rows: DataFrame, min_chars: int = MIN_CHARS, support: int = SUPPORT, z: float = Z, share: float = SHARE) -> DataFrame:
     """entity, term, n_pair, n_term, n_entity, n, reveals (share of IC) of all supported pairs. rows: _doc, text, base."""
     gone = written(originals(rows))
-    place = F.coalesce("original", "_doc").alias("place")
-    held = written(rows.filter(F.size("base") > 0).join(gone, "_doc", "left").select("_doc", place, "text", "base"))
-    of = written(_entities(held).join(held.select("_doc", "place").distinct(), "_doc"))
+    held = written(rows.filter(F.size("base") > 0).select("_doc", "text", "base"))
+    of = written(_entities(held).join(few(gone), "_doc", "left").select("_doc", "entity", F.coalesce("original", "_doc").alias("place")))
     entities = written(of.select("entity", "place").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support))
     common = of.join(few(entities.select("entity")), "entity")
     outside = F.aggregate("base", F.col("text"), lambda acc, s: F.replace(acc, s["value"], F.lit(" ")))
     words = held.select("_doc", F.explode(F.array_distinct(F.split(F.lower(outside), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars).distinct()
     met = common.join(words, "_doc").select("entity", "term", "place").distinct()
     pairs = written(met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair")).filter(F.col("n_pair") >= support))
-    said = rows.select("_doc", F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars)
-    said = said.join(few(written(pairs.select("term").distinct())), "term", "left_semi").join(few(gone), "_doc", "left").select("term", place).distinct()
-    terms = said.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    # documents without copies are counted, the others' words once for all that go together
+    together = written(gone.union(gone.select("original", "original").distinct()).toDF("_doc", "place"))
+    wanted = written(pairs.select("term").distinct())
+    said = rows.select("_doc", "text").join(few(together, COPY_ROWS), "_doc", "left")
+    said = said.select("place", F.explode(F.array_distinct(F.split(F.lower("text"), r"\P{L}+"))).alias("term")).filter(F.length("term") >= min_chars)
+    said = said.join(F.broadcast(wanted), "term", "left_semi") if wanted.limit(FEW_ROWS + 1).count() <= FEW_ROWS else said
+    said = said.groupBy("term", "place").agg(F.count(F.lit(1)).alias("n"))
+    terms = said.groupBy("term").agg(F.sum(F.when(F.col("place").isNull(), F.col("n")).otherwise(1)).alias("n_term"))
     total = rows.select("_doc").distinct().join(few(gone), "_doc", "left_anti").agg(F.count(F.lit(1)).alias("n"))
     met = pairs.join(entities, "entity").join(terms, "term").withColumn("n", total.scalar()).filter(F.col("n_entity") < F.col("n"))
     met = met.filter(F.col("n_pair") >= share * F.col("n_term"))
